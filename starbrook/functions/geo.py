@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
-
 BIN_BITS = 16
 
 
 def ip_to_long(ip: Column) -> Column:
-    """Numeric value of a dotted IPv4 text, null for anything else."""
-    octets = F.split(ip, r"\.")
+    """Numeric value of a dotted IPv4 text, null for anything else.
+
+    A text is valid when its four numbers, written out again, give the same text.
+    """
+    octets = [
+        F.substring_index(F.substring_index(ip, ".", n), ".", -1).try_cast("int")
+        for n in (1, 2, 3, 4)
+    ]
+    valid = F.concat_ws(".", *(o.cast("string") for o in octets)) == ip
     value = F.lit(0).cast("bigint")
-    for position in range(4):
-        value = value * 256 + F.element_at(octets, position + 1).cast("bigint")
-    return F.when(ip.rlike(_IPV4), value)
+    for octet in octets:
+        valid = valid & octet.between(0, 255)
+        value = value * 256 + octet
+    return F.when(valid, value)
 
 
 def ip_bin(address: Column) -> Column:

@@ -15,7 +15,12 @@ LARGEST_EPOCH_SECOND = 9_999_999_999
 FIRST_MILLI = -62_135_596_800_000
 LAST_MILLI = 253_402_300_799_999
 
-_BLANK = r"(?U)^[\s\x1c-\x1f]*$"
+# Fixed value: every character that counts as white space.
+_WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Calendar date, any one separator, time down to milli- or microseconds, numeric offset.
 _ISO = (
@@ -32,7 +37,7 @@ def present(c: Column) -> Column:
 
 def text_or_unknown(c: Column) -> Column:
     """The text as it is, or the unknown label when null or only white space."""
-    return F.when(c.isNull() | c.rlike(_BLANK), F.lit(UNKNOWN_TEXT)).otherwise(c)
+    return F.when(F.ltrim(c, F.lit(_WHITE_SPACE)) != "", c).otherwise(F.lit(UNKNOWN_TEXT))
 
 
 def customer_id(cookie: Column) -> Column:

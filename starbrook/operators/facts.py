@@ -71,10 +71,9 @@ def build_facts(prepared: DataFrame, lookups: dict[str, tuple[DataFrame, bool |
 
 def unique_facts(rows: DataFrame) -> DataFrame:
     """One row per fact id, the smallest by event id; copies are combined before the shuffle."""
-    same = [*FACT_KEYS, "event_time"]
-    kept = rows.groupBy("fact_id").agg(
-        *(F.first(c).alias(c) for c in same),  # equal for equal ids
-        F.min(F.struct(*_DESCRIPTION)).alias("d"),
+    # the keys and the time are equal for equal ids
+    kept = rows.groupBy("fact_id", *FACT_KEYS, "event_time").agg(
+        F.min(F.struct(*_DESCRIPTION)).alias("d")
     )
     return kept.select(
         "fact_id",

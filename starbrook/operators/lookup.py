@@ -7,25 +7,29 @@ answered by a broadcast of just the hot keys while the rest is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 48
-# A key is hot when it holds more than one part in HOT_SHARE of the rows, so at most HOT_SHARE
-# keys can be hot.
-HOT_SHARE = 500
-SALTS = 512
+# A key is hot when it holds more than one part in MOST_HOT_KEYS of the rows, so there can be no
+# more hot keys than that, and when it has enough rows to matter.
+MOST_HOT_KEYS = 20_000
+LEAST_HOT_ROWS = 100_000
+SALTS = 1 << 16
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` by one aggregate over it: text lengths plus a fixed cost per row and field."""
-    size = F.lit(0).cast("bigint")
+def size_in_bytes(df: DataFrame) -> Column:
+    """Aggregate for the size of ``df``: text lengths plus a fixed cost per row and field."""
+    size = F.lit(8 * len(df.columns) + ROW_OVERHEAD).cast("bigint")
     for field in df.schema.fields:
         if field.dataType.simpleString() == "string":
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0)).cast("bigint")
-    cells = 8 * len(df.columns) + ROW_OVERHEAD
-    return df.agg(F.sum(size + cells).alias("bytes")).first()["bytes"] or 0
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return F.coalesce(F.sum(size), F.lit(0))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.agg(size_in_bytes(df).alias("bytes")).first()["bytes"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -36,11 +40,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
-def hot_keys(rows: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than 1/share of the rows. Counts are combined before the shuffle."""
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """At most MOST_HOT_KEYS keys that hold many rows. Counts are combined before the shuffle."""
     counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    return counts.filter(F.col("n") > total / share).select(key)
+    limit = max(total // MOST_HOT_KEYS, LEAST_HOT_ROWS)
+    return counts.filter(F.col("n") > limit).select(key)
 
 
 def attach(
@@ -49,7 +54,6 @@ def attach(
     key: str,
     values: list[str],
     small: bool | None = None,
-    share: int = HOT_SHARE,
 ) -> DataFrame:
     """Left join of ``rows`` with ``lookup`` (unique on ``key``), adding ``values``.
 
@@ -60,30 +64,31 @@ def attach(
         small = fits_broadcast(lookup)
     if small:
         return rows.join(F.broadcast(lookup), key, "left")
-    return _attach_large(rows, lookup, key, values, share)
+    return _attach_large(rows, lookup, key, values)
 
 
 def _attach_large(
-    rows: DataFrame, lookup: DataFrame, key: str, values: list[str], share: int
+    rows: DataFrame, lookup: DataFrame, key: str, values: list[str]
 ) -> DataFrame:
-    hot = hot_keys(rows, key, share)
-    # at most ``share`` rows, see hot_keys
+    hot = hot_keys(rows, key)
+    # at most MOST_HOT_KEYS rows
     answers = lookup.join(F.broadcast(hot), key, "left_semi").select(
         key, F.struct(*values).alias("_hot")
     )
     # Rows answered already, and rows without a key, take no part in the match. They carry a null
-    # join key, and the salt spreads them by the task that read them. That number is the same
-    # when the task is repeated, and spreads identical copies, too.
+    # join key and are spread by a salt from their content and from the task that read them:
+    # content alone would keep identical copies together, and both are the same when a task is
+    # repeated.
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.lit(SALTS))
     spread = (
         rows.join(F.broadcast(answers), key, "left")
         .withColumn("_key", F.when(F.col("_hot").isNull(), F.col(key)))
-        .withColumn(
-            "_salt",
-            F.when(F.col("_key").isNull(), F.spark_partition_id() % SALTS).otherwise(F.lit(0)),
-        )
+        .withColumn("_salt", F.when(F.col("_key").isNull(), salt).otherwise(F.lit(0)))
     )
+    # Always 0, but not as a constant: the optimizer would take a constant out of the join key.
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
     rest = lookup.select(
-        F.col(key).alias("_key"), F.lit(0).alias("_salt"), F.struct(*values).alias("_cold")
+        F.col(key).alias("_key"), zero.alias("_salt"), F.struct(*values).alias("_cold")
     )
     joined = spread.join(rest, ["_key", "_salt"], "left")
     found = F.coalesce("_hot", "_cold")

@@ -14,17 +14,16 @@ from starbrook.operators.facts import prepare_events
 from starbrook.operators.locate import LOCATION_COLUMNS, locate
 from starbrook.operators.lookup import fits_broadcast, known_members
 from starbrook.plans import reports, shaping
-from starbrook.schemas import EVENT_SCHEMA, FACT_REFERENCES
+from starbrook.schemas import EVENT_SCHEMA, FACT_REFERENCES, STAR_TABLES
 from starbrook.session import scratch_path, use_utc
 from starbrook.sources.events import event_source, parse_events, to_messages
-from starbrook.sources.warehouse import FACT, Warehouse
+from starbrook.sources.warehouse import BATCH, FACT, REJECTS, RUN_LOG, Warehouse
 from starbrook.streaming.ingest import Ingest
 from starbrook.streaming.mirror import start_mirror
 from starbrook.streaming.monitor import start_lag, start_throughput
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-PRODUCT = "42"
 COUNTRY = "NATION_7"
 AS_OF = "2024-02-10 00:00:00"
 JOBS_AS_OF = "2024-01-31 00:00:00"
@@ -86,6 +85,16 @@ def star(spark: SparkSession, sf_dir: str, how: str = "once") -> Warehouse:
     return _stars[key]
 
 
+def _copy(source: Warehouse) -> Warehouse:
+    """A warehouse of its own for jobs that rewrite folders."""
+    target = _new_warehouse(source.spark, "copy")
+    for table in [*STAR_TABLES, REJECTS, RUN_LOG]:
+        parts = ["date_id", BATCH] if table == FACT else [BATCH]
+        rows = source.stored(table).repartition(*parts)
+        rows.write.mode("append").partitionBy(*parts).parquet(target.path(table))
+    return target
+
+
 def _latest(warehouse: Warehouse):
     return reports.latest_report_date(warehouse.fact()).first()["max_date"]
 
@@ -248,9 +257,12 @@ def recent_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_hourly_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day of its most viewed product."""
     warehouse = star(spark, sf_dir)
     day, fact = _latest_fact(warehouse)
-    return reports.product_hourly_views(fact, warehouse.table("dim_product"), PRODUCT, day)
+    products = warehouse.table("dim_product")
+    leader = reports.top_products(fact, products, day, 1).first()["product_id"]
+    return reports.product_hourly_views(fact, products, leader, day)
 
 
 def product_total_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +372,7 @@ def retention_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live and archived facts after a retention run at noon, so that one day is split."""
-    warehouse = _load_slices(spark, sf_dir)
+    warehouse = _copy(star(spark, sf_dir, "slices"))
     retention.archive_old_facts(warehouse, _as_of("2024-02-10 12:00:00"))
     sides = [("live", warehouse.fact()), ("archive", retention.read_archive(warehouse))]
     parts = [df.select(F.lit(side).alias("side"), "fact_id", "date_id") for side, df in sides]
@@ -369,7 +381,7 @@ def archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact table after all its days and the customers were compacted; content must not change."""
-    warehouse = _load_slices(spark, sf_dir)
+    warehouse = _copy(star(spark, sf_dir, "slices"))
     retention.compact_fact_days(warehouse, warehouse.days())
     retention.compact_dimension(warehouse, "dim_customer")
     customers = warehouse.table("dim_customer").select("customer_key", "customer_id", "email_address")

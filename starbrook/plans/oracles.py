@@ -9,7 +9,6 @@ from starbrook.plans.catalog import (
     EXPECTED_MINIMUM,
     JOBS_AS_OF,
     JOBS_WINDOW_MINUTES,
-    PRODUCT,
 )
 from starbrook.plans.shaping import LAST_SLICE, USER_AGENTS
 
@@ -193,6 +192,12 @@ _PRODUCT_REST = ", ".join(
 _LOCATION = "location_id, country_name, country_short, region_name, city_name"
 
 
+_LEADER = (
+    "(SELECT product_id FROM today JOIN dim_product USING (product_key) "
+    "GROUP BY product_id ORDER BY count(*) DESC, product_id LIMIT 1)"
+)
+
+
 def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
@@ -434,10 +439,10 @@ JOIN dim_store USING (store_key) WHERE country_name = '{COUNTRY}' GROUP BY store
 ORDER BY product_id LIMIT 100""",
         "product_hourly_views": _ONCE
         + f"""SELECT CAST(hour(time_stamp) AS INT) AS hour, count(*) AS view_count
-FROM today JOIN dim_product USING (product_key) WHERE product_id = '{PRODUCT}' GROUP BY 1""",
+FROM today JOIN dim_product USING (product_key) WHERE product_id = {_LEADER} GROUP BY 1""",
         "product_total_views": _ONCE
         + f"""SELECT count(*) AS total_views
-FROM today JOIN dim_product USING (product_key) WHERE product_id = '{PRODUCT}'""",
+FROM today JOIN dim_product USING (product_key) WHERE product_id = {_LEADER}""",
         "browser_os_views": _ONCE
         + """SELECT row_number() OVER (ORDER BY count(*) DESC, browser, os) AS rank, browser, os,
   count(*) AS view_count FROM today JOIN dim_device USING (device_key) GROUP BY browser, os""",

@@ -20,6 +20,8 @@ def build_session(app_name: str = "starbrook", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # call-site capture costs several driver round trips per column expression
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }

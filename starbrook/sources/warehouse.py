@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,20 +149,22 @@ class Warehouse:
     # writing
 
     def log_run(self, batch_id: int, state: str, started: datetime, **values) -> None:
-        now = datetime.now(timezone.utc)
-        row = Row(
-            job_id=self.job_id,
-            run_id=batch_id,
-            state=state,
-            start_date=started,
-            end_date=None if state == "running" else now,
-            input_rows=values.get("input_rows"),
-            rejected_rows=values.get("rejected_rows"),
-            fact_rows=values.get("fact_rows"),
-            key_high_water=values.get("high_water"),
-            error=values.get("error"),
+        """Appends one row to the log; it is built in the JVM, without a Python worker."""
+        now = None if state == "running" else datetime.now(timezone.utc)
+        marks = [F.lit(part) for item in values.get("high_water", {}).items() for part in item]
+        row = {
+            "job_id": F.lit(self.job_id),
+            "run_id": F.lit(batch_id),
+            "state": F.lit(state),
+            "start_date": _instant(started),
+            "end_date": _instant(now),
+            "key_high_water": F.create_map(*marks) if marks else F.lit(None),
+            "error": F.lit(values.get("error")),
+            **{n: F.lit(values.get(n)) for n in ("input_rows", "rejected_rows", "fact_rows")},
+        }
+        log = self.spark.range(0, 1, 1, 1).select(
+            *(row[f.name].cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA.fields)
         )
-        log = self.spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1)
         log.write.mode("append").parquet(self.batch_path(RUN_LOG, batch_id))
 
     def write_batch(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
@@ -177,11 +179,12 @@ class Warehouse:
         Rebalancing splits large days and gathers small ones; rows are sorted by time so that row
         groups can be skipped by their time span.
         """
+        # counted in the writing stage itself, where a repeated task is not counted twice
         written = Observation()
         (
-            facts.observe(written, F.count(F.lit(1)).alias("rows"))
-            .hint("rebalance", "date_id")
+            facts.hint("rebalance", "date_id")
             .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+            .observe(written, F.count(F.lit(1)).alias("rows"))
             .sortWithinPartitions("date_id", BATCH, "time_stamp")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -191,6 +194,13 @@ class Warehouse:
         return written.get["rows"]
 
 
+def _instant(when: datetime | None) -> Column:
+    """A literal that does not depend on the driver's time zone."""
+    if when is None:
+        return F.lit(None)
+    return F.timestamp_micros(F.lit(int(when.timestamp() * 1_000_000)))
+
+
 def day_folder(day: int | None) -> str:
     return f"date_id={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
 

@@ -6,10 +6,11 @@ The same code loads a batch DataFrame (``load``) and runs inside ``foreachBatch`
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,7 +22,14 @@ from starbrook.operators.dimensions import (
 )
 from starbrook.operators.facts import absent_facts, build_facts, prepare_events, touched_days
 from starbrook.operators.locate import range_pieces
-from starbrook.operators.lookup import fits_broadcast, known_members, missing_members
+from starbrook.operators.lookup import (
+    BROADCAST_BYTES,
+    ROW_OVERHEAD,
+    fits_broadcast,
+    known_members,
+    missing_members,
+    size_in_bytes,
+)
 from starbrook.operators.numbering import number_rows
 from starbrook.operators.retention import append_archive
 from starbrook.session import use_utc
@@ -30,6 +38,14 @@ from starbrook.sources.events import parse_events
 from starbrook.sources.warehouse import FACT, REJECTS, Snapshot, Warehouse, newest_versions
 
 TRIGGER = "15 seconds"
+FACT_ID_BYTES = 64
+
+
+@dataclass(frozen=True)
+class Staged:
+    rows: DataFrame
+    count: int
+    bytes: int
 
 
 class Ingest:
@@ -81,17 +97,16 @@ class Ingest:
 
     def _load(self, events: DataFrame, batch_id: int) -> dict:
         base = self.warehouse.snapshot(before=batch_id)
-        prepared = self._stage(
+        staged = self._stage(
             prepare_events(events, self.ranges, self.ranges_small), batch_id, "prepared"
         )
-        counts = {"input_rows": prepared.count(), "rejected_rows": 0}
+        prepared, rejected = staged.rows, 0
         if "reject_reason" in prepared.columns:
-            rejected = prepared.filter(F.col("reject_reason").isNotNull())
-            counts["rejected_rows"] = rejected.count()
-            if counts["rejected_rows"]:
-                self.warehouse.write_batch(
-                    rejected.select("raw_value", "reject_reason"), REJECTS, batch_id
-                )
+            bad = prepared.filter(F.col("reject_reason").isNotNull())
+            rejected = bad.count()
+            if rejected:
+                bad = bad.select("raw_value", "reject_reason")
+                self.warehouse.write_batch(bad, REJECTS, batch_id)
             prepared = prepared.filter(F.col("reject_reason").isNull())
 
         tasks = [lambda d=d: self._upsert(d, prepared, batch_id, base) for d in DIMENSIONS]
@@ -101,44 +116,56 @@ class Ingest:
             runs = [pool.submit(inheritable_thread_target(self.spark)(task)) for task in tasks]
             results = [run.result() for run in runs][: len(DIMENSIONS)]
         lookups = {d.table: (r[0], r[1]) for d, r in zip(DIMENSIONS, results)}
-        high_water = {d.table: r[2] for d, r in zip(DIMENSIONS, results)}
 
         facts = build_facts(prepared, lookups)
-        written = self._insert(facts, batch_id, base)
-        return {**counts, "fact_rows": written, "high_water": high_water}
+        return {
+            "input_rows": staged.count,
+            "rejected_rows": rejected,
+            "fact_rows": self._insert(facts, batch_id, base),
+            "high_water": {d.table: r[2] for d, r in zip(DIMENSIONS, results)},
+        }
 
     def _upsert(self, dim: Dimension, prepared: DataFrame, batch_id: int, base: Snapshot):
-        """Adds new members and new versions; returns the keys of this batch's members."""
-        members = self._stage(dim.members(prepared), batch_id, f"members_{dim.table}")
-        small = fits_broadcast(members)
+        """Adds new members and new versions.
+
+        Returns the keys of this batch's members, whether they are small, and the highest key.
+        """
+        staged = self._stage(dim.members(prepared), batch_id, f"members_{dim.table}")
+        members, small = staged.rows, staged.bytes <= BROADCAST_BYTES
         start = base.high_water.get(dim.table, 0)
 
-        if base.empty:
-            known, new = None, members
-        else:
+        known, new = None, members
+        if not base.empty:
             log = self.warehouse.rows(dim.table, base)
             known = known_members(members, log, dim.natural, small)
             if dim.table == "dim_customer":
                 known = newest_versions(known)
             new = missing_members(members, known, dim.natural, small)
 
-        order = [F.col(dim.natural)]
-        freeze = self._freezer(batch_id, f"numbered_{dim.table}")
-        versions = dim.conform(number_rows(new, order, dim.key, start, freeze))
+        placed: list[Staged] = []
+
+        def freeze(df: DataFrame) -> DataFrame:
+            placed.append(self._stage(df, batch_id, f"numbered_{dim.table}"))
+            return placed[0].rows
+
+        added = dim.conform(number_rows(new, [F.col(dim.natural)], dim.key, start, freeze))
+        count = placed[0].count
+        versions = added if count else None
         if known is not None and dim.table == "dim_customer":
-            versions = versions.unionByName(overlay_customers(known, members, small))
-        if versions.isEmpty():
+            changed = overlay_customers(known, members, small)
+            if versions is not None:
+                versions = versions.unionByName(changed)
+            elif not changed.isEmpty():
+                versions = changed
+        if versions is None:
             files.delete(self.spark, self.warehouse.batch_path(dim.table, batch_id))
-            return known.select(dim.natural, dim.key) if known is not None else versions.select(
-                dim.natural, dim.key
-            ), small, start
-
-        written = self.warehouse.write_batch(versions, dim.table, batch_id)
-        added = written.filter(F.col(dim.key) > start).select(dim.natural, dim.key)
-        high = added.agg(F.max(dim.key).alias("k")).first()["k"] or start
-        if known is None:
-            return added, small, high
-        return known.select(dim.natural, dim.key).unionByName(added), small, high
+        else:
+            written = self.warehouse.write_batch(versions, dim.table, batch_id)
+            added = written.filter(F.col(dim.key) > start)
+        keys = added.select(dim.natural, dim.key)
+        if known is not None:
+            keys = known.select(dim.natural, dim.key).unionByName(keys)
+        return keys, small, start + count
 
     def _upsert_dates(self, prepared: DataFrame, batch_id: int, base: Snapshot) -> None:
         days = date_members(prepared)  # one row per calendar day
@@ -153,11 +180,13 @@ class Ingest:
     def _insert(self, facts: DataFrame, batch_id: int, base: Snapshot) -> int:
         """Inserts facts not seen in earlier batches; returns how many."""
         if not base.empty or self.archive_before is not None:
-            facts = self._stage(facts, batch_id, "facts")
+            staged = self._stage(facts, batch_id, "facts")
+            facts = staged.rows
+            small = staged.count * (FACT_ID_BYTES + ROW_OVERHEAD) <= BROADCAST_BYTES
         if not base.empty:
             days, spans = touched_days(facts)
             existing = self.warehouse.rows(FACT, base, days).filter(spans)
-            facts = absent_facts(facts, existing, fits_broadcast(facts.select("fact_id")))
+            facts = absent_facts(facts, existing, small)
         if self.archive_before is not None:
             old = F.coalesce(F.col("time_stamp") < self.archive_before, F.lit(False))
             append_archive(self.warehouse, facts.filter(old))
@@ -166,12 +195,14 @@ class Ingest:
 
     # staging
 
-    def _stage(self, df: DataFrame, batch_id: int, name: str) -> DataFrame:
+    def _stage(self, df: DataFrame, batch_id: int, name: str) -> Staged:
         """Writes an intermediate result once, so later steps read only the columns they need and
-        a lost executor costs no recomputation."""
+        a lost executor costs no recomputation. Its size is measured while it is written."""
         path = f"{self.warehouse.staging_path(batch_id)}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def _freezer(self, batch_id: int, name: str):
-        return lambda df: self._stage(df, batch_id, name)
+        seen = Observation()
+        measured = df.observe(
+            seen, F.count(F.lit(1)).alias("rows"), size_in_bytes(df).alias("bytes")
+        )
+        measured.write.mode("overwrite").parquet(path)
+        rows = self.spark.read.schema(df.schema).parquet(path)
+        return Staged(rows, seen.get["rows"], seen.get["bytes"])
