@@ -111,8 +111,3 @@ def fact_id(keys: list[Column], time_stamp: Column) -> Column:
     """SHA-256 over the six keys and the raw timestamp."""
     parts = [F.coalesce(c.cast("string"), F.lit(MISSING_KEY)) for c in [*keys, time_stamp]]
     return F.sha2(F.concat_ws("_", *parts), 256)
-
-
-def percent(part: Column, whole: Column) -> Column:
-    """Share in percent, two places, half to even."""
-    return F.bround(part / whole * 100, 2)

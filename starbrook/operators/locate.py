@@ -12,10 +12,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starbrook.functions.geo import BIN_BITS, ip_bin, ip_to_long, location_id
-from starbrook.operators.lookup import BROADCAST_BYTES, attach, fits_broadcast
+from starbrook.operators.lookup import attach, fits_broadcast
 from starbrook.schemas import LOCATION_SCHEMA
 
 LOCATION_COLUMNS = LOCATION_SCHEMA.fieldNames()
+# The range table saves a shuffle of every event, so it may be larger than other broadcasts.
+RANGE_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def ranges_fit(ranges: DataFrame, limit: int = RANGE_BROADCAST_BYTES) -> bool:
+    return fits_broadcast(range_pieces(ranges), limit)
 
 
 def range_pieces(ranges: DataFrame) -> DataFrame:
@@ -45,16 +51,15 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
 
 
 def locate(
-    rows: DataFrame,
-    ranges: DataFrame,
-    ip: str = "ip",
-    limit: int = BROADCAST_BYTES,
-    ranges_small: bool | None = None,
+    rows: DataFrame, ranges: DataFrame, ip: str = "ip", ranges_small: bool | None = None
 ) -> DataFrame:
-    """Adds the struct ``loc_info``, null where the address is invalid or in no range."""
+    """Adds the struct ``loc_info``, null where the address is invalid or in no range.
+
+    ``ranges_small`` says whether the caller has already measured the ranges.
+    """
     pieces = range_pieces(ranges)
     if ranges_small is None:
-        ranges_small = fits_broadcast(pieces, limit)
+        ranges_small = ranges_fit(ranges)
     if ranges_small:
         return _locate_in_place(rows, pieces, ip)
     return attach(rows, _locate_distinct(rows, pieces, ip), ip, ["loc_info"], small=False)

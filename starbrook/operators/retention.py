@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbrook.functions import scalars as S
@@ -135,6 +135,12 @@ def compact_dimension(warehouse: Warehouse, table: str) -> None:
     files.swap_in(spark, staged, warehouse.path(table), aside)
 
 
+def analyze(spark: SparkSession, tables: list[str]) -> None:
+    """Refreshes optimizer statistics of catalog tables (see warehouse.table_ddl)."""
+    for table in tables:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+
+
 def _rewrite_day(warehouse: Warehouse, day: int, rows: DataFrame) -> None:
     """Replaces a day's folder by ``rows``, which may be read from that very folder."""
     spark = warehouse.spark

@@ -289,7 +289,9 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.schema_check(star(spark, sf_dir).tables())
+    warehouse = star(spark, sf_dir)
+    snapshot = warehouse.snapshot()
+    return quality.schema_check({t: warehouse.as_written(t, snapshot) for t in STAR_TABLES})
 
 
 def _lagging_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -43,6 +43,15 @@ class Snapshot:
         return shown & ~F.col(BATCH).isin(*self.unfinished) if self.unfinished else shown
 
 
+@dataclass(frozen=True)
+class Written:
+    """A batch folder just written, its size and its highest surrogate key."""
+
+    rows: DataFrame
+    count: int
+    high: int | None
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, job_id: str = "ingest"):
         self.spark, self.root, self.job_id = spark, root.rstrip("/"), job_id
@@ -124,6 +133,13 @@ class Warehouse:
             rows = newest_versions(rows)
         return rows.select(*STAR_TABLES[table].fieldNames())
 
+    def as_written(self, table: str, snapshot: Snapshot) -> DataFrame:
+        """Visible rows in the columns and types the files really have."""
+        if not files.folders(self.spark, self.path(table)):
+            return self.table(table, snapshot)
+        rows = self.spark.read.parquet(self.path(table)).filter(snapshot.shows())
+        return rows.drop(BATCH, *CUSTOMER_STATE.fieldNames())
+
     def fact(self, days: list[int | None] | None = None) -> DataFrame:
         columns = STAR_TABLES[FACT].fieldNames()
         return self.rows(FACT, self.snapshot(), days).select(*columns)
@@ -167,11 +183,22 @@ class Warehouse:
         )
         log.write.mode("append").parquet(self.batch_path(RUN_LOG, batch_id))
 
-    def write_batch(self, df: DataFrame, table: str, batch_id: int) -> DataFrame:
-        """Writes or rewrites one batch of a dimension or of the rejects, and reads it back."""
-        path = self.batch_path(table, batch_id)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(self.schema(table)).parquet(path)
+    def write_batch(
+        self, df: DataFrame, table: str, batch_id: int, key: str | None = None
+    ) -> Written | None:
+        """Writes or rewrites one batch of a dimension or of the rejects, and reads it back.
+
+        None if there was nothing to write; such a batch leaves no folder.
+        """
+        path, seen = self.batch_path(table, batch_id), Observation()
+        highest = F.max(F.col(key) if key else F.lit(None).cast("bigint"))
+        measured = df.observe(seen, F.count(F.lit(1)).alias("rows"), highest.alias("high"))
+        measured.write.mode("overwrite").parquet(path)
+        if not seen.get["rows"]:
+            files.delete(self.spark, path)
+            return None
+        rows = self.spark.read.schema(self.schema(table)).parquet(path)
+        return Written(rows, seen.get["rows"], seen.get["high"])
 
     def write_facts(self, facts: DataFrame, batch_id: int) -> int:
         """One folder per day and batch; returns the number of rows written.

@@ -8,6 +8,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,11 +22,10 @@ from starbrook.operators.dimensions import (
     overlay_customers,
 )
 from starbrook.operators.facts import absent_facts, build_facts, prepare_events, touched_days
-from starbrook.operators.locate import range_pieces
+from starbrook.operators.locate import RANGE_BROADCAST_BYTES, ranges_fit
 from starbrook.operators.lookup import (
     BROADCAST_BYTES,
     ROW_OVERHEAD,
-    fits_broadcast,
     known_members,
     missing_members,
     size_in_bytes,
@@ -49,16 +49,24 @@ class Staged:
 
 
 class Ingest:
-    """Feeds one warehouse. ``archive_before`` sends facts of pruned days to the archive."""
+    """Feeds one warehouse, as its only writer.
+
+    ``archive_before`` sends facts of pruned days to the archive.
+    """
 
     def __init__(
-        self, warehouse: Warehouse, ip_ranges: DataFrame, archive_before: Column | None = None
+        self,
+        warehouse: Warehouse,
+        ip_ranges: DataFrame,
+        archive_before: Column | None = None,
+        range_limit: int = RANGE_BROADCAST_BYTES,
     ):
         self.warehouse = warehouse
         self.spark: SparkSession = use_utc(warehouse.spark)
         self.ranges = ip_ranges
-        self.ranges_small = fits_broadcast(range_pieces(ip_ranges))
+        self.ranges_small = ranges_fit(ip_ranges, range_limit)
         self.archive_before = archive_before
+        self._newest: Snapshot | None = None
 
     # drivers
 
@@ -84,21 +92,42 @@ class Ingest:
     def load(self, events: DataFrame, batch_id: int) -> None:
         """Loads one batch of parsed events; repeating a batch replaces its earlier outcome."""
         started = datetime.now(timezone.utc)
-        self.warehouse.log_run(batch_id, "running", started)
+        base, self._newest = self._base(batch_id), None
         try:
-            outcome = self._load(events, batch_id)
+            outcome = self._load(events, batch_id, base, started)
         except Exception as error:
             self.warehouse.log_run(batch_id, "failed", started, error=str(error)[:2000])
             raise
         self.warehouse.log_run(batch_id, "success", started, **outcome)
+        unfinished = tuple(run for run in base.unfinished if run != batch_id)
+        self._newest = Snapshot(batch_id, outcome["high_water"], unfinished)
         files.delete(self.spark, self.warehouse.staging_path(batch_id))
 
     # one batch
 
-    def _load(self, events: DataFrame, batch_id: int) -> dict:
-        base = self.warehouse.snapshot(before=batch_id)
-        staged = self._stage(
-            prepare_events(events, self.ranges, self.ranges_small), batch_id, "prepared"
+    def _base(self, batch_id: int) -> Snapshot:
+        """The state to start from: what this writer left, or what the log says after a restart,
+        a failure or for a repeated batch."""
+        newest = self._newest
+        if newest is not None and newest.batch_id < batch_id:
+            return newest
+        return self.warehouse.snapshot(before=batch_id)
+
+    def _parallel(self, tasks: list) -> list:
+        """Runs independent jobs side by side; each is small beside its fixed costs."""
+        with ThreadPoolExecutor(len(tasks)) as pool:
+            runs = [pool.submit(inheritable_thread_target(self.spark)(task)) for task in tasks]
+            return [run.result() for run in runs]
+
+    def _load(self, events: DataFrame, batch_id: int, base: Snapshot, started: datetime) -> dict:
+        # The log row marking the batch as unfinished is there before any table is touched.
+        staged, _ = self._parallel(
+            [
+                lambda: self._stage(
+                    prepare_events(events, self.ranges, self.ranges_small), batch_id, "prepared"
+                ),
+                lambda: self.warehouse.log_run(batch_id, "running", started),
+            ]
         )
         prepared, rejected = staged.rows, 0
         if "reject_reason" in prepared.columns:
@@ -111,10 +140,8 @@ class Ingest:
 
         tasks = [lambda d=d: self._upsert(d, prepared, batch_id, base) for d in DIMENSIONS]
         tasks.append(lambda: self._upsert_dates(prepared, batch_id, base))
-        # The dimensions do not depend on each other, so their small jobs overlap.
-        with ThreadPoolExecutor(len(tasks)) as pool:
-            runs = [pool.submit(inheritable_thread_target(self.spark)(task)) for task in tasks]
-            results = [run.result() for run in runs][: len(DIMENSIONS)]
+        # The dimensions do not depend on each other.
+        results = self._parallel(tasks)[: len(DIMENSIONS)]
         lookups = {d.table: (r[0], r[1]) for d, r in zip(DIMENSIONS, results)}
 
         facts = build_facts(prepared, lookups)
@@ -142,40 +169,29 @@ class Ingest:
                 known = newest_versions(known)
             new = missing_members(members, known, dim.natural, small)
 
-        placed: list[Staged] = []
-
-        def freeze(df: DataFrame) -> DataFrame:
-            placed.append(self._stage(df, batch_id, f"numbered_{dim.table}"))
-            return placed[0].rows
-
-        added = dim.conform(number_rows(new, [F.col(dim.natural)], dim.key, start, freeze))
-        count = placed[0].count
-        versions = added if count else None
+        freeze = self._freezer(batch_id, f"numbered_{dim.table}")
+        order = [F.col(dim.natural)]
+        versions = dim.conform(
+            number_rows(new, order, dim.key, start, freeze, at_most=staged.count)
+        )
         if known is not None and dim.table == "dim_customer":
-            changed = overlay_customers(known, members, small)
-            if versions is not None:
-                versions = versions.unionByName(changed)
-            elif not changed.isEmpty():
-                versions = changed
-        if versions is None:
-            files.delete(self.spark, self.warehouse.batch_path(dim.table, batch_id))
-        else:
-            written = self.warehouse.write_batch(versions, dim.table, batch_id)
-            added = written.filter(F.col(dim.key) > start)
-        keys = added.select(dim.natural, dim.key)
-        if known is not None:
-            keys = known.select(dim.natural, dim.key).unionByName(keys)
-        return keys, small, start + count
+            versions = versions.unionByName(overlay_customers(known, members, small))
+        written = self.warehouse.write_batch(versions, dim.table, batch_id, dim.key)
+        parts = [] if known is None else [known]
+        if written is not None:
+            parts.append(written.rows.filter(F.col(dim.key) > start))
+        keys = [part.select(dim.natural, dim.key) for part in parts] or [
+            self.spark.createDataFrame([], f"{dim.natural} string, {dim.key} bigint")
+        ]
+        high = written.high if written is not None else start
+        return reduce(DataFrame.unionByName, keys), small, max(start, high)
 
     def _upsert_dates(self, prepared: DataFrame, batch_id: int, base: Snapshot) -> None:
         days = date_members(prepared)  # one row per calendar day
         if not base.empty:
             known = self.warehouse.rows("dim_date", base).select("date_id")
             days = days.join(known, "date_id", "left_anti")
-        if days.isEmpty():
-            files.delete(self.spark, self.warehouse.batch_path("dim_date", batch_id))
-        else:
-            self.warehouse.write_batch(days, "dim_date", batch_id)
+        self.warehouse.write_batch(days, "dim_date", batch_id)
 
     def _insert(self, facts: DataFrame, batch_id: int, base: Snapshot) -> int:
         """Inserts facts not seen in earlier batches; returns how many."""
@@ -206,3 +222,6 @@ class Ingest:
         measured.write.mode("overwrite").parquet(path)
         rows = self.spark.read.schema(df.schema).parquet(path)
         return Staged(rows, seen.get["rows"], seen.get["bytes"])
+
+    def _freezer(self, batch_id: int, name: str):
+        return lambda df: self._stage(df, batch_id, name).rows

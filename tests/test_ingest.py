@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import event, millis, rows
 from starbrook.operators import retention
+from starbrook.schemas import STAR_TABLES
 from starbrook.sources import files
 from starbrook.sources.events import event_source, parse_events
 from starbrook.sources.warehouse import FACT, Warehouse
@@ -321,6 +322,14 @@ def test_reports_read_one_day_folder(loaded):
     assert {"20240102" in f for f in only.inputFiles()} == {True}
 
 
+def test_files_have_the_declared_types(loaded):
+    from starbrook.operators.quality import schema_check
+
+    snapshot = loaded.snapshot()
+    found = schema_check({t: loaded.as_written(t, snapshot) for t in STAR_TABLES})
+    assert rows(found.filter("status <> 'ok'")) == []
+
+
 def test_ingest_runs_no_python_on_rows(ingest, ranges, frame):
     from starbrook.operators.facts import prepare_events
 

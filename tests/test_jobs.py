@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from starbrook.operators import alerts, feed, quality
+from starbrook.operators.retention import analyze
 from starbrook.plans import reports
 from starbrook.schemas import STAR_TABLES
 from starbrook.sources import jdbc
@@ -227,6 +228,10 @@ def test_table_ddl_creates_the_declared_tables(spark, tmp_path):
         for name, schema in STAR_TABLES.items():
             made = {f.name: f.dataType for f in spark.table(name).schema.fields}
             assert made == {f.name: f.dataType for f in schema.fields}
+        spark.sql("INSERT INTO dim_store VALUES (1, 's', 'Store s')")
+        analyze(spark, ["dim_store"])
+        described = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED dim_store").collect()}
+        assert "1 rows" in described["Statistics"]
     finally:
         for name in STAR_TABLES:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
