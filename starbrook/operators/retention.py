@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starbrook.functions import scalars as S
 from starbrook.operators.facts import absent_facts, touched_days
@@ -75,6 +76,7 @@ def archive_old_facts(warehouse: Warehouse, as_of: Column, days: int = RETENTION
     The copy is verified before anything is removed. Whole days are dropped as folders; only the
     boundary day is rewritten. Every step can be repeated if the run is interrupted.
     """
+    warehouse.restore_interrupted()
     spark = warehouse.spark
     limit = spark.range(1).select(cutoff(as_of, days).alias("at")).select(
         F.unix_micros("at").alias("micros"), S.date_id(F.col("at")).alias("day")
@@ -95,7 +97,7 @@ def archive_old_facts(warehouse: Warehouse, as_of: Column, days: int = RETENTION
             files.delete(spark, f"{warehouse.path(FACT)}/{day_folder(day)}")
     if limit["day"] in expired_days:
         kept = warehouse.rows(FACT, snapshot, [limit["day"]]).filter(F.col("time_stamp") >= at)
-        _rewrite_day(warehouse, limit["day"], kept)
+        _rewrite_days(warehouse, [limit["day"]], kept)
     return count
 
 
@@ -103,17 +105,19 @@ def compact_fact_days(warehouse: Warehouse, days: list[int]) -> None:
     """Joins the batches of each given day into one folder, labelled with the newest of them.
 
     Run between batches: the label keeps the rows ahead of any batch that may still be repeated.
+    All days are rewritten by one job.
     """
-    snapshot = warehouse.snapshot()
-    for day in days:
-        rows = warehouse.rows(FACT, snapshot, [day])
-        newest = rows.agg(F.max(BATCH).alias("b")).first()["b"]
-        if newest is not None:
-            _rewrite_day(warehouse, day, rows.withColumn(BATCH, F.lit(newest)))
+    warehouse.restore_interrupted()
+    rows = warehouse.rows(FACT, warehouse.snapshot(), days)
+    newest = rows.groupBy("date_id").agg(F.max(BATCH).alias("newest"))
+    # one row per day
+    labelled = rows.join(F.broadcast(newest), "date_id").withColumn(BATCH, F.col("newest"))
+    _rewrite_days(warehouse, days, labelled.drop("newest"))
 
 
 def compact_dimension(warehouse: Warehouse, table: str) -> None:
     """Rewrites a dimension as its current view, sorted by natural key, in one batch folder."""
+    warehouse.restore_interrupted()
     spark, snapshot = warehouse.spark, warehouse.snapshot()
     if snapshot.empty:
         return
@@ -131,8 +135,7 @@ def compact_dimension(warehouse: Warehouse, table: str) -> None:
         .parquet(staged)
     )
     _check_copy(rows, spark.read.parquet(staged))
-    aside = f"{warehouse.root}/_staging/aside-{table}"
-    files.swap_in(spark, staged, warehouse.path(table), aside)
+    warehouse.swap_in(staged, table)
 
 
 def analyze(spark: SparkSession, tables: list[str]) -> None:
@@ -141,24 +144,24 @@ def analyze(spark: SparkSession, tables: list[str]) -> None:
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 
-def _rewrite_day(warehouse: Warehouse, day: int, rows: DataFrame) -> None:
-    """Replaces a day's folder by ``rows``, which may be read from that very folder."""
+def _rewrite_days(warehouse: Warehouse, days: list[int], rows: DataFrame) -> None:
+    """Replaces the folders of ``days`` by ``rows``, which may be read from those very folders."""
     spark = warehouse.spark
     staged = f"{warehouse.root}/_staging/rewrite"
     (
-        rows.hint("rebalance", BATCH)
+        rows.hint("rebalance", "date_id")
         .sortWithinPartitions("date_id", BATCH, "time_stamp")
         .write.mode("overwrite")
         .partitionBy("date_id", BATCH)
         .parquet(staged)
     )
-    name = day_folder(day)
-    live, copy = f"{warehouse.path(FACT)}/{name}", f"{staged}/{name}"
-    if not files.exists(spark, copy):  # nothing was kept
-        files.delete(spark, live)
-        return
-    _check_copy(rows, spark.read.parquet(staged))
-    files.swap_in(spark, copy, live, f"{warehouse.root}/_staging/aside-{name}")
+    columns = [*warehouse.schema(FACT).fields, T.StructField(BATCH, T.LongType())]
+    _check_copy(rows, spark.read.schema(T.StructType(columns)).parquet(staged))
+    for name in map(day_folder, days):
+        if files.exists(spark, f"{staged}/{name}"):
+            warehouse.swap_in(f"{staged}/{name}", f"{FACT}/{name}")
+        else:  # nothing was kept
+            files.delete(spark, f"{warehouse.path(FACT)}/{name}")
 
 
 def _check_copy(rows: DataFrame, copy: DataFrame) -> None:

@@ -15,11 +15,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def make_folder(spark: SparkSession, path: str) -> None:
-    fs, target = _resolve(spark, path)
-    fs.mkdirs(target)
-
-
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _resolve(spark, path)
     fs.delete(target, True)

@@ -21,6 +21,7 @@ FACT = "fact_product_views"
 REJECTS = "rejects"
 RUN_LOG = "run_log"
 BATCH = "batch_id"
+ASIDE, SLASH = "aside-", "+"
 
 
 @dataclass(frozen=True)
@@ -55,8 +56,6 @@ class Written:
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, job_id: str = "ingest"):
         self.spark, self.root, self.job_id = spark, root.rstrip("/"), job_id
-        for table in [*STAR_TABLES, REJECTS, RUN_LOG]:
-            files.make_folder(spark, self.path(table))
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -87,6 +86,8 @@ class Warehouse:
         """
         schema = T.StructType([*self.schema(table).fields, T.StructField(BATCH, T.LongType())])
         reader = self.spark.read.schema(schema)
+        if not files.exists(self.spark, self.path(table)):
+            return self.spark.createDataFrame([], schema)
         if days is None:
             return reader.parquet(self.path(table))
         present = set(files.folders(self.spark, self.path(table)))
@@ -164,6 +165,25 @@ class Warehouse:
 
     # writing
 
+    def swap_in(self, staged: str, target: str) -> None:
+        """Puts a staged folder in the place of ``target``, a path below the root."""
+        aside = f"{self.root}/_staging/{ASIDE}{target.replace('/', SLASH)}"
+        files.swap_in(self.spark, staged, f"{self.root}/{target}", aside)
+
+    def restore_interrupted(self) -> None:
+        """Ends swaps that were cut short: the old folder returns unless the new one is in place.
+
+        Called by every writer before it starts.
+        """
+        for name in files.folders(self.spark, f"{self.root}/_staging"):
+            if name.startswith(ASIDE):
+                aside = f"{self.root}/_staging/{name}"
+                live = f"{self.root}/{name.removeprefix(ASIDE).replace(SLASH, '/')}"
+                if files.exists(self.spark, live):
+                    files.delete(self.spark, aside)
+                else:
+                    files.rename(self.spark, aside, live)
+
     def log_run(self, batch_id: int, state: str, started: datetime, **values) -> None:
         """Appends one row to the log; it is built in the JVM, without a Python worker."""
         now = None if state == "running" else datetime.now(timezone.utc)

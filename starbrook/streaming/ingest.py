@@ -67,6 +67,7 @@ class Ingest:
         self.ranges_small = ranges_fit(ip_ranges, range_limit)
         self.archive_before = archive_before
         self._newest: Snapshot | None = None
+        warehouse.restore_interrupted()
 
     # drivers
 

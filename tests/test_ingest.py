@@ -300,6 +300,31 @@ def test_compaction_keeps_the_content(spark, loaded, ranges, frame):
     assert (5, "p9") in rows(loaded.table("dim_product"), "product_key", "product_id")
 
 
+@pytest.mark.parametrize("step", [0, 1])
+def test_an_interrupted_swap_is_restored(spark, loaded, ranges, monkeypatch, step):
+    before = content(loaded)
+    steps, rename = [], files.rename
+
+    def crash(spark, source, target):
+        if len(steps) == 1 + step:
+            raise RuntimeError("lost")
+        steps.append(source)
+        rename(spark, source, target)
+
+    monkeypatch.setattr(files, "rename", crash)
+    if step == 0:
+        with pytest.raises(RuntimeError):
+            retention.compact_dimension(loaded, "dim_customer")
+        assert loaded.table("dim_customer").count() == 0
+    else:
+        monkeypatch.setattr(files, "delete", lambda *args: None)
+        retention.compact_dimension(loaded, "dim_customer")
+    monkeypatch.undo()
+    Ingest(loaded, ranges)
+    assert content(loaded) == before
+    assert not [n for n in files.folders(spark, f"{loaded.root}/_staging") if n.startswith("aside")]
+
+
 def test_footprint(loaded):
     found = retention.table_footprint({t: loaded.stored(t) for t in (FACT, "dim_store")})
     by_name = {r["table_name"]: r for r in found.collect()}
