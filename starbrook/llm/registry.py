@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starbrook.llm.quality_rules import op10_quality_rules
+from starbrook.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op5_toxicity": op5_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
