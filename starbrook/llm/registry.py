@@ -6,18 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starbrook.llm.exact_dedup import op2_exact_dedup
 from starbrook.llm.quality_rules import op10_quality_rules
 from starbrook.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op2_exact_dedup": op2_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
+ORACLES = {
+    "op2_exact_dedup": """
+        WITH folded AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+            FROM documents
+        )
+        SELECT doc_id,
+            max(doc_id) OVER same AS keep_id,
+            count(*) OVER same AS group_size,
+            doc_id = max(doc_id) OVER same AS kept,
+            text_sha256
+        FROM folded WINDOW same AS (PARTITION BY text_sha256)
+    """,
+}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
