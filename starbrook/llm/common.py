@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starbrook.session import cut_lineage
+
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 # Texts handed to one vectorised step, in characters; a longer text is a step of its own.
@@ -46,7 +49,7 @@ def labelled_sample(labels: DataFrame, label: str, rows: int) -> DataFrame:
 
 def steps(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[list, list[str]]]:
     """Rows of an Arrow batch in steps of bounded text, so that memory follows the longest text."""
-    lengths = texts.nbytes and pa.compute.binary_length(texts).to_pylist() or [0] * len(texts)
+    lengths = pc.binary_length(texts).to_pylist()
     start = held = 0
     for i, length in enumerate(lengths):
         if i > start and held + length > STEP_CHARS:
@@ -55,3 +58,21 @@ def steps(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[list, list[str]]]:
         held += length
     if start < len(lengths):
         yield ids.slice(start).to_pylist(), texts.slice(start).to_pylist()
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def without(docs: DataFrame, key: list[Column], going: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is not among the rows of ``going``, with all their columns.
+
+    ``going`` is broadcast up to a counted bound, so that texts stay where they are; beyond it
+    both sides are shuffled.
+    """
+    names = [f"k{i}" for i in range(len(key))]
+    going = cut_lineage(going.toDF(*names).distinct())
+    if going.count() <= BROADCAST_ROWS:
+        going = F.broadcast(going)
+    rows = docs.select(*(k.alias(n) for k, n in zip(key, names, strict=True)), F.struct("*").alias("row"))
+    same = [rows[n].eqNullSafe(going[n]) for n in names]
+    return rows.join(going, same, "left_anti").select("row.*")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbrook.llm.common import id_and_text, table
+from starbrook.llm.common import id_and_text, table, without
 from starbrook.session import cut_lineage
 
 SHARD_DIGESTS = 50_000  # digests a shard holds on average
@@ -242,23 +242,15 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     going = (
         digests.join(shared, "digest")
         .filter(~F.col("doc_id").eqNullSafe(F.col("winner")))
-        .select(_key(F.col("doc_id"), F.col("digest")).alias("key"))
-        .distinct()
+        .select("doc_id", "digest")
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(
-        _key(F.col("doc_id").cast("bigint"), digest(text)).alias("key"), F.struct("*").alias("row")
-    )
-    kept = rows.join(going, "key", "left_anti")
+    own = digest(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    kept = without(docs, [F.col("doc_id").cast("bigint"), own], going)
     if digests.groupBy("digest", "doc_id").count().filter("count > 1").limit(1).count():
         # rows that repeat id and text are one document
-        kept = kept.groupBy("key").agg(F.first("row").alias("row"))
-    return kept.select("row.*")
-
-
-def _key(doc_id: Column, digest: Column) -> Column:
-    """Id and digest of a row as one value that is never null."""
-    return F.concat(digest, F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary"))
+        keyed = kept.select(F.struct(F.col("doc_id"), own).alias("key"), F.struct("*").alias("row"))
+        kept = keyed.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    return kept
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
