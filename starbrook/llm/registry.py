@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starbrook.llm.bpe import op4_byte_bpe
 from starbrook.llm.exact_dedup import op2_exact_dedup
 from starbrook.llm.near_dedup import op6_minhash_near_dedup
 from starbrook.llm.quality_rules import op10_quality_rules
@@ -13,6 +14,7 @@ from starbrook.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
