@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from starbrook.llm.bpe import op4_byte_bpe
 from starbrook.llm.exact_dedup import op2_exact_dedup
 from starbrook.llm.near_dedup import op6_minhash_near_dedup
+from starbrook.llm.packing import op1_best_fit_packing
 from starbrook.llm.quality_rules import op10_quality_rules
 from starbrook.llm.toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "pipeline": corpus_pipeline.run,
     "op10_quality_rules": op10_quality_rules,
 }
 
