@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import starbrook
 from starbrook.session import cut_lineage
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -21,9 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver has it, too. On a cluster it is
+    installed there or named in ``--py-files``."""
+    environment, root = spark.sparkContext.environment, str(Path(starbrook.__file__).parents[1])
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the whole text, null read as empty. Other columns are left behind, so that
     columns of any name may accompany them."""
+    let_workers_import(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

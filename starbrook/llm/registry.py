@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from starbrook.llm.bpe import op4_byte_bpe
+from starbrook.llm.chat import op7_chat_formatting
 from starbrook.llm.exact_dedup import op2_exact_dedup
 from starbrook.llm.near_dedup import op6_minhash_near_dedup
 from starbrook.llm.packing import op1_best_fit_packing
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_chat_formatting": op7_chat_formatting,
     "pipeline": corpus_pipeline.run,
     "op10_quality_rules": op10_quality_rules,
 }
