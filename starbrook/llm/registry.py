@@ -14,10 +14,12 @@ from starbrook.llm.near_dedup import op6_minhash_near_dedup
 from starbrook.llm.packing import op1_best_fit_packing
 from starbrook.llm.quality_rules import op10_quality_rules
 from starbrook.llm.toxicity import op5_toxicity
+from starbrook.llm.url_filter import op3_url_filter
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_url_filter": op3_url_filter,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
