@@ -10,9 +10,11 @@ import corpus_pipeline
 from starbrook.llm.bpe import op4_byte_bpe
 from starbrook.llm.chat import op7_chat_formatting
 from starbrook.llm.exact_dedup import op2_exact_dedup
+from starbrook.llm.licenses import op9_license_scans
 from starbrook.llm.near_dedup import op6_minhash_near_dedup
 from starbrook.llm.packing import op1_best_fit_packing
 from starbrook.llm.quality_rules import op10_quality_rules
+from starbrook.llm.token_counts import op8_token_counts
 from starbrook.llm.toxicity import op5_toxicity
 from starbrook.llm.url_filter import op3_url_filter
 
@@ -24,6 +26,8 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_token_counts": op8_token_counts,
+    "op9_license_scans": op9_license_scans,
     "pipeline": corpus_pipeline.run,
     "op10_quality_rules": op10_quality_rules,
 }
