@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as registry
 from check import TABLES, rows_of
+from starbrook.plans import catalog, oracles
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = registry.queries()
-STATEMENTS = registry.oracle_sql()
+QUERIES = catalog.queries()
+STATEMENTS = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,10 @@ def test_query(spark, db, name):
         assert found == rows_of([c[0] for c in result.description], result.fetchall())
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(registry.queries()) and set(STATEMENTS) <= set(registry.oracle_sql())
+
+
 def test_entry(spark):
     df = registry.entry(spark)
     assert df.columns == ["rank", "product_id", "view_count"] and df.count() == 10
