@@ -132,7 +132,7 @@ class Automaton:
                     reach(child, cost)
                 elif END not in (branch, letter):
                     reach(child, cost + 1)
-            if node and letter != END:
+            if letter != END:
                 reach(node, cost + 1)
         target = self._state(self._closed(after)) if after else -1
         self.next[state][letter] = target
