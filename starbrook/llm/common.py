@@ -16,7 +16,7 @@ from starbrook.session import cut_lineage
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 # Texts handed to one vectorised step, in characters; a longer text is a step of its own.
-STEP_CHARS = 4_000_000
+STEP_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

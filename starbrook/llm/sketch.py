@@ -38,7 +38,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    MOST = 300_000
+    MOST = 150_000
 
     def __missing__(self, word: str) -> int:
         if len(self) > self.MOST:

@@ -187,7 +187,7 @@ class Model:
 class Matcher:
     """What the words of a text hit in a lexicon; remembers the words it has met."""
 
-    MOST_WORDS = 200_000
+    MOST_WORDS = 100_000
 
     def __init__(self, terms: list[str], odds: list[list[float]] | None = None):
         self.automaton = Automaton(terms)
@@ -423,8 +423,9 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.fill_null(batch["text"].cast(pa.string()), "").to_pylist()
-            yield batch.filter(pa.array(_scores(model, texts) < 0.5))
+            texts = pc.fill_null(batch["text"].cast(pa.string()), "")
+            clean = [_scores(model, part) < 0.5 for _, part in steps(pa.nulls(len(texts)), texts)]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0, dtype=bool), *clean])))
 
     return docs.mapInArrow(run, docs.schema)
 
