@@ -90,7 +90,7 @@ def _copy(source: Warehouse) -> Warehouse:
     target = _new_warehouse(source.spark, "copy")
     for table in [*STAR_TABLES, REJECTS, RUN_LOG]:
         parts = ["date_id", BATCH] if table == FACT else [BATCH]
-        rows = source.stored(table).repartition(*parts)
+        rows = source.stored(table).hint("rebalance", *parts)
         rows.write.mode("append").partitionBy(*parts).parquet(target.path(table))
     return target
 
@@ -392,6 +392,43 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _replayed(rerun) -> Query:
+    """The facts with their customers after the three deliveries and then ``rerun``, which must not
+    change them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = _copy(star(spark, sf_dir, "slices"))
+        raw, ranges = shaping.raw_events(spark, sf_dir), shaping.ip_ranges(spark, sf_dir)
+        rerun(warehouse, ranges, raw, shaping.LAST_SLICE)
+        customers = warehouse.table("dim_customer").select("customer_key", "customer_id", "email_address")
+        return warehouse.fact().join(customers, "customer_key", "left").select(
+            "fact_id", "customer_key", "customer_id", "email_address", "date_id"
+        )
+
+    return run
+
+
+def _after_compaction(warehouse: Warehouse, ranges: DataFrame, raw: DataFrame, last: int) -> None:
+    """The newest delivery once more, as after a stop before the checkpoint was written."""
+    retention.compact_fact_days(warehouse, warehouse.days())
+    retention.compact_dimension(warehouse, "dim_customer")
+    Ingest(warehouse, ranges).load(_wire(raw.filter(F.col("slice") == last)), last)
+
+
+def _by_new_checkpoint(warehouse: Warehouse, ranges: DataFrame, raw: DataFrame, last: int) -> None:
+    """The newest delivery from a stream of its own, which begins to count anew."""
+    inbox, checkpoint = f"{warehouse.root}/_inbox", f"{warehouse.root}/_checkpoint"
+    to_messages(raw.filter(F.col("slice") == last)).write.parquet(inbox)
+    source = event_source(warehouse.spark, "parquet", inbox)
+    Ingest(warehouse, ranges).start(source, checkpoint, trigger={"availableNow": True}).awaitTermination()
+
+
+def _with_fewer_days(warehouse: Warehouse, ranges: DataFrame, raw: DataFrame, last: int) -> None:
+    """A repeat of the newest delivery that lacks most of its days."""
+    part = raw.filter((F.col("slice") == last) & (F.dayofmonth("ts") <= 25))
+    Ingest(warehouse, ranges).load(_wire(part), last)
+
+
 def table_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = star(spark, sf_dir)
     return retention.table_footprint({t: warehouse.stored(t) for t in warehouse.tables()})
@@ -572,6 +609,9 @@ def queries() -> dict[str, Query]:
         "retention_split": retention_split,
         "archive_run": archive_run,
         "compact": compact,
+        "replay_after_compaction": _replayed(_after_compaction),
+        "new_checkpoint": _replayed(_by_new_checkpoint),
+        "repeat_with_fewer_days": _replayed(_with_fewer_days),
         "table_footprint": table_footprint,
         "archival_report": archival_report,
         "alerts": alert_list,

@@ -479,6 +479,12 @@ SELECT *, total_rows - distinct_keys AS duplicate_rows FROM counted""",
         "compact": _SLICES
         + """SELECT fact_id, customer_key, customer_id, email_address, date_id
 FROM fact LEFT JOIN dim_customer USING (customer_key)""",
+        **dict.fromkeys(
+            ("replay_after_compaction", "new_checkpoint", "repeat_with_fewer_days"),
+            _SLICES
+            + """SELECT fact_id, customer_key, customer_id, email_address, date_id
+FROM fact LEFT JOIN dim_customer USING (customer_key)""",
+        ),
         "alerts": _ONCE + _ALERTS + " SELECT * FROM alerts",
         "alert_summary": _ONCE
         + _ALERTS

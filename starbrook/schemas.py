@@ -140,7 +140,9 @@ CUSTOMER_STATE = columns(email_seen_at=LONG, user_seen_at=LONG)
 
 RUN_LOG_SCHEMA = columns(
     job_id=TEXT,
+    feed=TEXT,
     run_id=LONG,
+    attempt=LONG,
     state=TEXT,
     start_date=INSTANT,
     end_date=INSTANT,

@@ -1,8 +1,10 @@
 """The star schema as partitioned Parquet, with one log row deciding what readers see.
 
 Every table is an append-only set of ``batch_id=N`` folders (the fact table below ``date_id=D``).
-A batch writes its folders first and its log row last; folders of a batch that never logged
-success are not read, and a repeated batch overwrites its own folders.
+N numbers the warehouse's own attempts and only rises; which batch of which feed an attempt loads is
+in its log row. An attempt writes its folders first and logs success last; folders of an attempt that
+never did are not read, and no attempt writes into another's folders. A batch that succeeded once is
+not loaded again, so replays find it done, whatever has become of its folders since.
 """
 
 from __future__ import annotations
@@ -26,11 +28,13 @@ ASIDE, SLASH = "aside-", "+"
 
 @dataclass(frozen=True)
 class Snapshot:
-    """What a reader sees: everything up to the newest successful batch that was not left unfinished."""
+    """What a reader sees: everything up to the newest successful attempt that was not left
+    unfinished. ``last`` is the newest attempt of any state."""
 
     batch_id: int | None = None
     high_water: dict[str, int] = field(default_factory=dict)
     unfinished: tuple[int, ...] = ()
+    last: int = -1
 
     @property
     def empty(self) -> bool:
@@ -100,27 +104,37 @@ class Warehouse:
     def run_log(self) -> DataFrame:
         return self.stored(RUN_LOG).drop(BATCH)
 
-    def snapshot(self, before: int | None = None) -> Snapshot:
-        """The newest state, or the state a repeated batch ``before`` must start from."""
-        log = self.run_log()
-        if before is not None:
-            log = log.filter(F.col("run_id") < before)
+    def snapshot(self) -> Snapshot:
+        """The newest state."""
         good = F.col("state") == "success"
-        marks = F.struct("run_id", F.map_entries("key_high_water").alias("marks"))
-        runs = log.groupBy("run_id").agg(F.max(F.when(good, marks)).alias("c"))
+        marks = F.struct("attempt", F.map_entries("key_high_water").alias("marks"))
+        runs = self.run_log().groupBy("attempt").agg(F.max(F.when(good, marks)).alias("c"))
         row = runs.agg(
             F.max("c").alias("c"),
-            F.collect_set(F.when(F.col("c").isNull(), F.col("run_id"))).alias("unfinished"),
+            F.collect_set(F.when(F.col("c").isNull(), F.col("attempt"))).alias("unfinished"),
+            F.max("attempt").alias("last"),
         ).first()
+        last = -1 if row["last"] is None else row["last"]
         if row["c"] is None:
-            return Snapshot()
-        last = row["c"]["run_id"]
+            return Snapshot(last=last)
+        newest = row["c"]["attempt"]
         return Snapshot(
-            last,
+            newest,
             {m["key"]: m["value"] for m in row["c"]["marks"]},
-            tuple(sorted(run for run in row["unfinished"] if run < last)),
+            tuple(sorted(run for run in row["unfinished"] if run < newest)),
+            last,
         )
 
+    def has_loaded(self, feed: str, batch_id: int) -> bool:
+        """Whether a batch of a feed has succeeded."""
+        batch = (F.col("feed") == feed) & (F.col("run_id") == batch_id)
+        return not self.run_log().filter(batch & (F.col("state") == "success")).isEmpty()
+
+    def highest_batch(self, feed: str) -> int:
+        """The largest batch number of a feed that has succeeded, or -1."""
+        done = self.run_log().filter((F.col("feed") == feed) & (F.col("state") == "success"))
+        return done.agg(F.coalesce(F.max("run_id"), F.lit(-1)).alias("n")).first()["n"]
+
     def rows(
         self, table: str, snapshot: Snapshot, days: list[int | None] | None = None
     ) -> DataFrame:
@@ -184,13 +198,17 @@ class Warehouse:
                 else:
                     files.rename(self.spark, aside, live)
 
-    def log_run(self, batch_id: int, state: str, started: datetime, **values) -> None:
+    def log_run(
+        self, feed: str, batch_id: int, attempt: int, state: str, started: datetime, **values
+    ) -> None:
         """Appends one row to the log; it is built in the JVM, without a Python worker."""
         now = None if state == "running" else datetime.now(timezone.utc)
         marks = [F.lit(part) for item in values.get("high_water", {}).items() for part in item]
         row = {
             "job_id": F.lit(self.job_id),
+            "feed": F.lit(feed),
             "run_id": F.lit(batch_id),
+            "attempt": F.lit(attempt),
             "state": F.lit(state),
             "start_date": _instant(started),
             "end_date": _instant(now),
@@ -201,7 +219,7 @@ class Warehouse:
         log = self.spark.range(0, 1, 1, 1).select(
             *(row[f.name].cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA.fields)
         )
-        log.write.mode("append").parquet(self.batch_path(RUN_LOG, batch_id))
+        log.write.mode("append").parquet(self.batch_path(RUN_LOG, attempt))
 
     def write_batch(
         self, df: DataFrame, table: str, batch_id: int, key: str | None = None

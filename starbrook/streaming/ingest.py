@@ -5,6 +5,7 @@ The same code loads a batch DataFrame (``load``) and runs inside ``foreachBatch`
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -38,6 +39,7 @@ from starbrook.sources.events import parse_events
 from starbrook.sources.warehouse import FACT, REJECTS, Snapshot, Warehouse, newest_versions
 
 TRIGGER = "15 seconds"
+LOADED = "load"  # feed of batches that no stream delivers
 FACT_ID_BYTES = 64
 
 
@@ -67,6 +69,7 @@ class Ingest:
         self.ranges_small = ranges_fit(ip_ranges, range_limit)
         self.archive_before = archive_before
         self._newest: Snapshot | None = None
+        self._highest: dict[str, int] = {}
         warehouse.restore_interrupted()
 
     # drivers
@@ -77,42 +80,58 @@ class Ingest:
         checkpoint: str,
         trigger: dict | None = None,
     ) -> StreamingQuery:
-        """Runs until stopped; late events are accepted at any age, as nothing is held in state."""
+        """Runs until stopped; late events are accepted at any age, as nothing is held in state.
+
+        The feed is the query as its checkpoint knows it, so a new checkpoint is a new feed whose
+        batch numbers are not taken for those of an earlier one.
+        """
+        feed: list[str] = []
+
+        def process(messages: DataFrame, batch_id: int) -> None:
+            if not feed:  # written before the first batch
+                metadata = self.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+                feed.append(json.loads(metadata["value"])["id"])
+            self.process_batch(messages, batch_id, feed[0])
+
         return (
-            source.writeStream.foreachBatch(self.process_batch)
+            source.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": TRIGGER}))
             .start()
         )
 
-    def process_batch(self, messages: DataFrame, batch_id: int) -> None:
+    def process_batch(self, messages: DataFrame, batch_id: int, feed: str = LOADED) -> None:
         if messages.isEmpty():
             return
-        self.load(parse_events(messages), batch_id)
+        self.load(parse_events(messages), batch_id, feed)
 
-    def load(self, events: DataFrame, batch_id: int) -> None:
-        """Loads one batch of parsed events; repeating a batch replaces its earlier outcome."""
+    def load(self, events: DataFrame, batch_id: int, feed: str = LOADED) -> None:
+        """Loads one batch of parsed events. A batch that has succeeded before is left as it is; one
+        that failed is loaded by a new attempt."""
         started = datetime.now(timezone.utc)
-        base, self._newest = self._base(batch_id), None
+        if self._has_loaded(feed, batch_id):
+            return
+        base, self._newest = self._newest or self.warehouse.snapshot(), None
+        attempt = base.last + 1
         try:
-            outcome = self._load(events, batch_id, base, started)
+            outcome = self._load(events, feed, batch_id, attempt, base, started)
         except Exception as error:
-            self.warehouse.log_run(batch_id, "failed", started, error=str(error)[:2000])
+            self.warehouse.log_run(feed, batch_id, attempt, "failed", started, error=str(error))
             raise
-        self.warehouse.log_run(batch_id, "success", started, **outcome)
-        unfinished = tuple(run for run in base.unfinished if run != batch_id)
-        self._newest = Snapshot(batch_id, outcome["high_water"], unfinished)
-        files.delete(self.spark, self.warehouse.staging_path(batch_id))
+        self.warehouse.log_run(feed, batch_id, attempt, "success", started, **outcome)
+        broken = range(0 if base.empty else base.batch_id + 1, attempt)
+        unfinished = (*base.unfinished, *broken)
+        self._newest = Snapshot(attempt, outcome["high_water"], unfinished, attempt)
+        self._highest[feed] = max(batch_id, self._highest[feed])
+        files.delete(self.spark, self.warehouse.staging_path(attempt))
 
     # one batch
 
-    def _base(self, batch_id: int) -> Snapshot:
-        """The state to start from: what this writer left, or what the log says after a restart,
-        a failure or for a repeated batch."""
-        newest = self._newest
-        if newest is not None and newest.batch_id < batch_id:
-            return newest
-        return self.warehouse.snapshot(before=batch_id)
+    def _has_loaded(self, feed: str, batch_id: int) -> bool:
+        """Numbers above the feed's highest are new; only for others the log is searched."""
+        if feed not in self._highest:
+            self._highest[feed] = self.warehouse.highest_batch(feed)
+        return batch_id <= self._highest[feed] and self.warehouse.has_loaded(feed, batch_id)
 
     def _parallel(self, tasks: list) -> list:
         """Runs independent jobs side by side; each is small beside its fixed costs."""
@@ -120,14 +139,22 @@ class Ingest:
             runs = [pool.submit(inheritable_thread_target(self.spark)(task)) for task in tasks]
             return [run.result() for run in runs]
 
-    def _load(self, events: DataFrame, batch_id: int, base: Snapshot, started: datetime) -> dict:
+    def _load(
+        self,
+        events: DataFrame,
+        feed: str,
+        batch_id: int,
+        attempt: int,
+        base: Snapshot,
+        started: datetime,
+    ) -> dict:
         # The log row marking the batch as unfinished is there before any table is touched.
         staged, _ = self._parallel(
             [
                 lambda: self._stage(
-                    prepare_events(events, self.ranges, self.ranges_small), batch_id, "prepared"
+                    prepare_events(events, self.ranges, self.ranges_small), attempt, "prepared"
                 ),
-                lambda: self.warehouse.log_run(batch_id, "running", started),
+                lambda: self.warehouse.log_run(feed, batch_id, attempt, "running", started),
             ]
         )
         prepared, rejected = staged.rows, 0
@@ -136,11 +163,11 @@ class Ingest:
             rejected = bad.count()
             if rejected:
                 bad = bad.select("raw_value", "reject_reason")
-                self.warehouse.write_batch(bad, REJECTS, batch_id)
+                self.warehouse.write_batch(bad, REJECTS, attempt)
             prepared = prepared.filter(F.col("reject_reason").isNull())
 
-        tasks = [lambda d=d: self._upsert(d, prepared, batch_id, base) for d in DIMENSIONS]
-        tasks.append(lambda: self._upsert_dates(prepared, batch_id, base))
+        tasks = [lambda d=d: self._upsert(d, prepared, attempt, base) for d in DIMENSIONS]
+        tasks.append(lambda: self._upsert_dates(prepared, attempt, base))
         # The dimensions do not depend on each other.
         results = self._parallel(tasks)[: len(DIMENSIONS)]
         lookups = {d.table: (r[0], r[1]) for d, r in zip(DIMENSIONS, results)}
@@ -149,16 +176,16 @@ class Ingest:
         return {
             "input_rows": staged.count,
             "rejected_rows": rejected,
-            "fact_rows": self._insert(facts, batch_id, base),
+            "fact_rows": self._insert(facts, attempt, base),
             "high_water": {d.table: r[2] for d, r in zip(DIMENSIONS, results)},
         }
 
-    def _upsert(self, dim: Dimension, prepared: DataFrame, batch_id: int, base: Snapshot):
+    def _upsert(self, dim: Dimension, prepared: DataFrame, attempt: int, base: Snapshot):
         """Adds new members and new versions.
 
         Returns the keys of this batch's members, whether they are small, and the highest key.
         """
-        staged = self._stage(dim.members(prepared), batch_id, f"members_{dim.table}")
+        staged = self._stage(dim.members(prepared), attempt, f"members_{dim.table}")
         members, small = staged.rows, staged.bytes <= BROADCAST_BYTES
         start = base.high_water.get(dim.table, 0)
 
@@ -170,14 +197,14 @@ class Ingest:
                 known = newest_versions(known)
             new = missing_members(members, known, dim.natural, small)
 
-        freeze = self._freezer(batch_id, f"numbered_{dim.table}")
+        freeze = self._freezer(attempt, f"numbered_{dim.table}")
         order = [F.col(dim.natural)]
         versions = dim.conform(
             number_rows(new, order, dim.key, start, freeze, at_most=staged.count)
         )
         if known is not None and dim.table == "dim_customer":
             versions = versions.unionByName(overlay_customers(known, members, small))
-        written = self.warehouse.write_batch(versions, dim.table, batch_id, dim.key)
+        written = self.warehouse.write_batch(versions, dim.table, attempt, dim.key)
         parts = [] if known is None else [known]
         if written is not None:
             parts.append(written.rows.filter(F.col(dim.key) > start))
@@ -187,17 +214,17 @@ class Ingest:
         high = written.high if written is not None else start
         return reduce(DataFrame.unionByName, keys), small, max(start, high)
 
-    def _upsert_dates(self, prepared: DataFrame, batch_id: int, base: Snapshot) -> None:
+    def _upsert_dates(self, prepared: DataFrame, attempt: int, base: Snapshot) -> None:
         days = date_members(prepared)  # one row per calendar day
         if not base.empty:
             known = self.warehouse.rows("dim_date", base).select("date_id")
             days = days.join(known, "date_id", "left_anti")
-        self.warehouse.write_batch(days, "dim_date", batch_id)
+        self.warehouse.write_batch(days, "dim_date", attempt)
 
-    def _insert(self, facts: DataFrame, batch_id: int, base: Snapshot) -> int:
+    def _insert(self, facts: DataFrame, attempt: int, base: Snapshot) -> int:
         """Inserts facts not seen in earlier batches; returns how many."""
         if not base.empty or self.archive_before is not None:
-            staged = self._stage(facts, batch_id, "facts")
+            staged = self._stage(facts, attempt, "facts")
             facts = staged.rows
             small = staged.count * (FACT_ID_BYTES + ROW_OVERHEAD) <= BROADCAST_BYTES
         if not base.empty:
@@ -208,14 +235,14 @@ class Ingest:
             old = F.coalesce(F.col("time_stamp") < self.archive_before, F.lit(False))
             append_archive(self.warehouse, facts.filter(old))
             facts = facts.filter(~old)
-        return self.warehouse.write_facts(facts, batch_id)
+        return self.warehouse.write_facts(facts, attempt)
 
     # staging
 
-    def _stage(self, df: DataFrame, batch_id: int, name: str) -> Staged:
+    def _stage(self, df: DataFrame, attempt: int, name: str) -> Staged:
         """Writes an intermediate result once, so later steps read only the columns they need and
         a lost executor costs no recomputation. Its size is measured while it is written."""
-        path = f"{self.warehouse.staging_path(batch_id)}/{name}"
+        path = f"{self.warehouse.staging_path(attempt)}/{name}"
         seen = Observation()
         measured = df.observe(
             seen, F.count(F.lit(1)).alias("rows"), size_in_bytes(df).alias("bytes")
@@ -224,5 +251,5 @@ class Ingest:
         rows = self.spark.read.schema(df.schema).parquet(path)
         return Staged(rows, seen.get["rows"], seen.get["bytes"])
 
-    def _freezer(self, batch_id: int, name: str):
-        return lambda df: self._stage(df, batch_id, name).rows
+    def _freezer(self, attempt: int, name: str):
+        return lambda df: self._stage(df, attempt, name).rows

@@ -361,3 +361,48 @@ def test_ingest_runs_no_python_on_rows(ingest, ranges, frame):
     text = prepare_events(frame(event()), ranges)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text.replace("Scan ExistingRDD", "")
     assert "NestedLoop" not in text
+
+
+def test_replay_after_compaction_changes_nothing(spark, loaded, ranges, frame):
+    """A stop between the log row and the checkpoint makes a stream deliver its newest batch again."""
+    before = content(loaded)
+    retention.compact_fact_days(loaded, loaded.days())
+    for table in ("dim_customer", "dim_product", "dim_date"):
+        retention.compact_dimension(loaded, table)
+    Ingest(loaded, ranges).load(frame(event(id="3-0", product_id="p3", time_stamp=millis("2024-01-03T00:00:00"))), 3)
+    assert content(loaded) == before
+
+
+def test_a_new_checkpoint_adds_to_the_history(spark, ranges, messages, tmp_path):
+    """Two streams over one warehouse both begin with batch 0; neither replaces the other's."""
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    days = ("2024-01-05", "2024-01-06")
+    for number, day in enumerate(days):
+        inbox = str(tmp_path / f"inbox{number}")
+        values = (event(id=f"{number}-{i}", device_id=f"c{number}", product_id=f"p{i}", time_stamp=millis(f"{day}T10:00:00")) for i in range(2))
+        messages(*values).write.parquet(inbox)
+        source = event_source(spark, "parquet", inbox)
+        Ingest(warehouse, ranges).start(source, str(tmp_path / f"state{number}"), trigger={"availableNow": True}).awaitTermination()
+    assert warehouse.fact().count() == 4
+    assert rows(warehouse.table("dim_customer"), "customer_id", "customer_key") == [("c0", 1), ("c1", 2)]
+    log = warehouse.run_log().filter("state = 'success'")
+    assert rows(log, "run_id", "attempt") == [(0, 0), (0, 1)] and log.select("feed").distinct().count() == 2
+
+
+def test_a_repeat_with_fewer_days_leaves_the_batch(ingest, warehouse, frame):
+    both = frame(event(time_stamp=millis("2024-01-05T10:00:00")), event(id="2", product_id="p2", time_stamp=millis("2024-01-06T10:00:00")))
+    ingest.load(both, 0)
+    before = content(warehouse)
+    ingest.load(frame(event(time_stamp=millis("2024-01-05T10:00:00"))), 0)
+    assert content(warehouse) == before and warehouse.days() == [20240105, 20240106]
+
+
+def test_attempts_that_broke_off_never_show(ingest, warehouse, frame, monkeypatch):
+    for number in range(2):  # the first batch fails twice, by writers that stop
+        with monkeypatch.context() as patched:
+            patched.setattr(warehouse, "write_facts", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                ingest.load(frame(event(device_id=f"gone{number}")), 0)
+    ingest.load(frame(event()), 0)
+    assert rows(warehouse.table("dim_customer"), "customer_id", "customer_key") == [("cookie1", 1)]
+    assert warehouse.snapshot().unfinished == (0, 1) and warehouse.fact().count() == 1
