@@ -20,7 +20,7 @@ from starbrook.sources.events import event_source, parse_events, to_messages
 from starbrook.sources.warehouse import BATCH, FACT, REJECTS, RUN_LOG, Warehouse
 from starbrook.streaming.ingest import Ingest
 from starbrook.streaming.mirror import start_mirror
-from starbrook.streaming.monitor import start_lag, start_throughput
+from starbrook.streaming.monitor import read_lag, read_throughput, start_lag, start_throughput
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -518,6 +518,10 @@ def feed_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.lag(rows, "ts", "arrival", limit_millis=EVENT_LIMIT_MILLIS)
 
 
+def feed_lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed.lag_percentiles(_with_arrival(shaping.events(spark, sf_dir)), "ts", "arrival")
+
+
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = shaping.read(spark, sf_dir, "events").schema
     files_only = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
@@ -527,13 +531,12 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows the stream has closed, that is, those ended an hour before the newest event."""
     out = scratch_path(spark, "throughput")
     stream = _events_stream(spark, sf_dir)
     start_throughput(
         stream, "ts", f"{out}/data", f"{out}/state", trigger={"availableNow": True}
     ).awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    return read_throughput(spark, f"{out}/data")
 
 
 def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -542,7 +545,7 @@ def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_lag(
         stream, "ts", "arrival", f"{out}/data", f"{out}/state", trigger={"availableNow": True}
     ).awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    return read_lag(spark, f"{out}/data")
 
 
 def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -620,6 +623,7 @@ def queries() -> dict[str, Query]:
         "failed_jobs": failed_jobs,
         "feed_throughput": feed_throughput,
         "feed_lag": feed_lag,
+        "feed_lag_percentiles": feed_lag_percentiles,
         "stream_throughput": stream_throughput,
         "stream_lag": stream_lag,
         "mirror": mirror,

@@ -359,12 +359,6 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, events, total
   AS lag_status FROM lagged {window_filter}"""
 
 
-# A stream has closed the windows that ended an hour before its newest event.
-_CLOSED = (
-    "WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
-)
-
-
 def oracle_sql() -> dict[str, str]:
     raw = f"WITH {_RAW} "
     facts = f"SELECT {_FACT_COLUMNS} FROM fact"
@@ -503,11 +497,17 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
   time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS events
 FROM events GROUP BY 1, 2, 3""",
         "feed_lag": _feed_lag(""),
-        "stream_throughput": f"""
+        "stream_throughput": """
 WITH counted AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS events
   FROM events GROUP BY 1)
-SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, events FROM counted {_CLOSED}""",
-        "stream_lag": _feed_lag(_CLOSED),
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, events FROM counted""",
+        "stream_lag": _feed_lag(""),
+        "feed_lag_percentiles": """
+WITH timed AS (SELECT ts, CAST(round(value * 1000) AS BIGINT) AS behind FROM events)
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+  time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+  quantile_disc(behind, 0.5) AS p50_ms, quantile_disc(behind, 0.95) AS p95_ms,
+  quantile_disc(behind, 0.99) AS p99_ms FROM timed GROUP BY 1""",
         "mirror": raw + "SELECT id AS message_key, current_url, 'source=web' AS header FROM raw",
     }
     statements["ip_geolocate_distinct"] = statements["ip_geolocate"]

@@ -5,7 +5,6 @@ The same code loads a batch DataFrame (``load``) and runs inside ``foreachBatch`
 
 from __future__ import annotations
 
-import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -37,6 +36,7 @@ from starbrook.session import use_utc
 from starbrook.sources import files
 from starbrook.sources.events import parse_events
 from starbrook.sources.warehouse import FACT, REJECTS, Snapshot, Warehouse, newest_versions
+from starbrook.streaming.monitor import feed_of
 
 TRIGGER = "15 seconds"
 LOADED = "load"  # feed of batches that no stream delivers
@@ -89,8 +89,7 @@ class Ingest:
 
         def process(messages: DataFrame, batch_id: int) -> None:
             if not feed:  # written before the first batch
-                metadata = self.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
-                feed.append(json.loads(metadata["value"])["id"])
+                feed.append(feed_of(self.spark, checkpoint))
             self.process_batch(messages, batch_id, feed[0])
 
         return (
