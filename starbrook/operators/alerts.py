@@ -1,17 +1,18 @@
 """Alert rules over table metrics.
 
-Each metric is a one-row aggregate in the shape (check_type, table_name, value, latest, names);
-rules are matched to metrics by check type and table.
+Each metric is a one-row aggregate in the shape of ``METRIC_SCHEMA``; rules are matched to metrics by
+check type and table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starbrook.operators.quality import duplicates
 from starbrook.schemas import REAL, TEXT, WHOLE, columns
@@ -71,11 +72,20 @@ ALERT_RULES = [
         "max_delay_minutes": 10,
     },
 ]
+# fixed values: severities and their priorities
 SEVERITY_PRIORITY = {"CRITICAL": 1, "HIGH": 2, "MEDIUM": 3, "LOW": 4}
 UNKNOWN_PRIORITY = 5
 FAILURE_WINDOW_MINUTES = 15
 
-_METRIC = ["check_type", "table_name", "value", "latest", "names"]
+METRIC_SCHEMA = columns(
+    check_type=TEXT,
+    table_name=TEXT,
+    value=T.DoubleType(),
+    latest=T.TimestampType(),
+    names=T.ArrayType(T.StringType()),
+    minutes=T.IntegerType(),
+)
+_METRIC = METRIC_SCHEMA.fieldNames()
 
 
 def rules_frame(spark: SparkSession, rules: Sequence[dict] = ALERT_RULES) -> DataFrame:
@@ -89,14 +99,16 @@ def _metric(df: DataFrame, check: str, table: str, **values: Column) -> DataFram
         "value": F.lit(None).cast("double"),
         "latest": F.lit(None).cast("timestamp"),
         "names": F.lit(None).cast("array<string>"),
+        "minutes": F.lit(None).cast("int"),
     }
-    columns = {**defaults, **values}
+    given = {**defaults, **values}
     return df.select(
         F.lit(check).alias("check_type"),
         F.lit(table).alias("table_name"),
-        columns["value"].cast("double").alias("value"),
-        columns["latest"].alias("latest"),
-        columns["names"].alias("names"),
+        given["value"].cast("double").alias("value"),
+        given["latest"].alias("latest"),
+        given["names"].alias("names"),
+        given["minutes"].alias("minutes"),
     )
 
 
@@ -121,6 +133,7 @@ def count_and_freshness(df: DataFrame, table: str, time_column: str = "time_stam
         "m.value",
         "m.latest",
         F.lit(None).cast("array<string>").alias("names"),
+        F.lit(None).cast("int").alias("minutes"),
     )
 
 
@@ -147,7 +160,8 @@ def failed_job_metric(
     jobs = failed_jobs(runs, as_of, minutes).agg(
         F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("job_id")).alias("ids")
     )
-    return _metric(jobs, "dag_failure", table, value=F.col("n"), names=F.col("ids"))
+    window = F.lit(minutes)
+    return _metric(jobs, "dag_failure", table, value=F.col("n"), names=F.col("ids"), minutes=window)
 
 
 def storage_metric(current: DataFrame, previous: DataFrame, table: str) -> DataFrame:
@@ -184,7 +198,9 @@ def _description() -> Column:
         F.coalesce("max_delay_minutes", F.lit(15)),
     )
     failed = F.concat(
-        F.lit(f"Failed DAGs detected in the last {FAILURE_WINDOW_MINUTES} mins: "),
+        F.lit("Failed DAGs detected in the last "),
+        F.col("minutes").cast("string"),
+        F.lit(" mins: "),
         F.array_join("names", ", "),
     )
     return (
@@ -201,6 +217,29 @@ def priority(severity: Column) -> Column:
     return ranked.otherwise(F.lit(UNKNOWN_PRIORITY))
 
 
+def measure(
+    spark: SparkSession, checks: Sequence[tuple[str, str, Callable[[], DataFrame]]]
+) -> tuple[DataFrame, DataFrame]:
+    """Metrics computed one by one, so that a missing table or column costs only its own check.
+
+    ``checks`` are (check type, table, metric). Returns the metrics, and (``check_type``,
+    ``table_name``, ``error``) of the checks that failed. A metric is one or two rows.
+    """
+    rows, failed = [], []
+    for kind, table, metric in checks:
+        try:
+            rows.extend(tuple(r) for r in metric().select(*_METRIC).collect())
+        except Exception as error:
+            failed.append((kind, table, str(error)))
+    failures = columns(check_type=TEXT, table_name=TEXT, error=TEXT)
+    return spark.createDataFrame(rows, METRIC_SCHEMA), spark.createDataFrame(failed, failures)
+
+
+def skipped_rules(rules: DataFrame, failures: DataFrame) -> DataFrame:
+    """Rules that could not be evaluated, with the reason."""
+    return rules.join(failures, ["check_type", "table_name"]).select("name", "severity", "error")
+
+
 def evaluate_rules(rules: DataFrame, metrics: Sequence[DataFrame], as_of: Column) -> DataFrame:
     """Triggered alerts, most severe first; a rule without a metric, or with a null one, is quiet."""
     measured = reduce(DataFrame.unionByName, [m.select(*_METRIC) for m in metrics])

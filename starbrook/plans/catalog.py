@@ -442,7 +442,8 @@ def archival_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # alerts
 
 
-def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _alerts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Triggered alerts, and the rules that could not be evaluated: one asks for a missing column."""
     as_of = _as_of()
     fact, raw = star(spark, sf_dir).fact(), shaping.raw_events(spark, sf_dir)
     runs = shaping.job_runs(spark, sf_dir)
@@ -463,6 +464,13 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
             "table_name": "raw_events",
             "threshold": 1e12,
         },
+        {
+            "name": "feed_late",
+            "description": "The feed is late",
+            "severity": "HIGH",
+            "check_type": "data_freshness",
+            "table_name": "arrivals",
+        },
     ]
 
     def payload(df: DataFrame) -> DataFrame:
@@ -470,30 +478,39 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.agg(size).select(F.lit(FACT).alias("table_name"), "bytes")
 
     half = fact.filter(F.col("date_id") <= 20240115)
-    metrics = [
-        alerts.count_and_freshness(fact, FACT),
-        alerts.count_and_freshness(raw, "raw_events", "ts"),
-        alerts.duplicate_metric(fact, FACT),
-        alerts.duplicate_metric(raw, "raw_events", "id"),
-        alerts.storage_metric(payload(fact), payload(half), FACT),
-        alerts.failed_job_metric(
-            runs, _as_of(JOBS_AS_OF), "run_log", JOBS_WINDOW_MINUTES
+    checks = [
+        ("table_count", FACT, lambda: alerts.count_and_freshness(fact, FACT)),
+        ("table_count", "raw_events", lambda: alerts.count_and_freshness(raw, "raw_events", "ts")),
+        ("data_freshness", "arrivals", lambda: alerts.count_and_freshness(raw, "arrivals", "arrived")),
+        ("data_quality", FACT, lambda: alerts.duplicate_metric(fact, FACT)),
+        ("data_quality", "raw_events", lambda: alerts.duplicate_metric(raw, "raw_events", "id")),
+        ("storage_check", FACT, lambda: alerts.storage_metric(payload(fact), payload(half), FACT)),
+        (
+            "dag_failure",
+            "run_log",
+            lambda: alerts.failed_job_metric(runs, _as_of(JOBS_AS_OF), "run_log", JOBS_WINDOW_MINUTES),
         ),
     ]
     rules = alerts.rules_frame(spark, [*alerts.ALERT_RULES, *feed_rules])
-    return alerts.evaluate_rules(rules, metrics, as_of)
+    metrics, failures = alerts.measure(spark, checks)
+    return alerts.evaluate_rules(rules, [metrics], as_of), alerts.skipped_rules(rules, failures)
 
 
 def alert_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alerts(spark, sf_dir).drop("triggered_at")
+    return _alerts(spark, sf_dir)[0].drop("triggered_at")
 
 
 def alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.alert_summary(_alerts(spark, sf_dir))
+    return alerts.alert_summary(_alerts(spark, sf_dir)[0])
 
 
 def alert_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alerts.classify(_alerts(spark, sf_dir)).select("severity", "place", "name")
+    return alerts.classify(_alerts(spark, sf_dir)[0]).select("severity", "place", "name")
+
+
+def alerts_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reason = F.regexp_extract("error", r"^\[([A-Z_.]+)\]", 1)
+    return _alerts(spark, sf_dir)[1].select("name", "severity", reason.alias("reason"))
 
 
 def failed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -620,6 +637,7 @@ def queries() -> dict[str, Query]:
         "alerts": alert_list,
         "alert_summary": alert_summary,
         "alert_classes": alert_classes,
+        "alerts_skipped": alerts_skipped,
         "failed_jobs": failed_jobs,
         "feed_throughput": feed_throughput,
         "feed_lag": feed_lag,

@@ -334,7 +334,7 @@ alerts AS (
   UNION ALL SELECT 'high_storage_usage', 'Database storage is growing unusually', 'LOW', 4, 2
     FROM fact HAVING sum(length(current_url)) / sum(CASE WHEN date_id <= 20240115
       THEN length(current_url) END) > 1.5
-  UNION ALL SELECT 'dag_failure_detected', 'Failed DAGs detected in the last 15 mins: '
+  UNION ALL SELECT 'dag_failure_detected', 'Failed DAGs detected in the last {JOBS_WINDOW_MINUTES} mins: '
     || string_agg(job_id, ', ' ORDER BY job_id), 'CRITICAL', 1, 3 FROM jobs HAVING count(*) > 0
   UNION ALL SELECT 'data_stagnation',
     'Streaming stuck: No new data in fact_product_views since '
@@ -491,6 +491,10 @@ FROM fact LEFT JOIN dim_customer USING (customer_key)""",
         + _ALERTS
         + """ SELECT severity, CAST(row_number() OVER (PARTITION BY severity ORDER BY rule_order) AS INT)
   AS place, name FROM alerts""",
+        # whether a rule is skipped depends on the declared columns alone
+        "alerts_skipped": """SELECT 'feed_late' AS name, 'HIGH' AS severity,
+  'UNRESOLVED_COLUMN.WITH_SUGGESTION' AS reason
+WHERE NOT EXISTS (SELECT 1 FROM (DESCRIBE events) WHERE column_name = 'arrived')""",
         "failed_jobs": f"WITH {_JOBS} SELECT * FROM jobs",
         "feed_throughput": """
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,

@@ -254,3 +254,24 @@ def test_report_of_a_day_without_facts(spark):
 def test_ties_are_ranked_by_name(spark):
     counts = spark.createDataFrame([("b", 2), ("a", 2), ("c", 3), (None, 2)], "n string, view_count bigint")
     assert rows(reports._top(counts, "n", 3)) == [(1, "c", 3), (2, None, 2), (3, "a", 2)]
+
+
+def test_a_failing_metric_costs_only_its_rules(spark):
+    df, missing = fact(spark), lambda: spark.table("no_such_table")
+    checks = [
+        ("table_count", FACT, lambda: alerts.count_and_freshness(df.limit(0), FACT)),
+        ("data_quality", FACT, lambda: alerts.duplicate_metric(missing(), FACT)),
+        ("dag_failure", "run_log", lambda: alerts.failed_job_metric(df, at("2024-01-01 12:00:00"))),
+    ]
+    metrics, failures = alerts.measure(spark, checks)
+    rules = alerts.rules_frame(spark)
+    assert rows(alerts.evaluate_rules(rules, [metrics], at("2024-01-01 00:00:00")), "name") == [("fact_table_empty",)]
+    assert rows(alerts.skipped_rules(rules, failures), "name") == [("dag_failure_detected",), ("low_data_quality",)]
+
+
+def test_the_text_names_the_window(spark):
+    runs = spark.createDataFrame([("a", "failed", "2024-01-01 09:00:00")], "job_id string, state string, e string")
+    runs = runs.select("job_id", "state", F.col("e").cast("timestamp").alias("end_date"))
+    now = at("2024-01-01 12:00:00")
+    found = alerts.evaluate_rules(alerts.rules_frame(spark), [alerts.failed_job_metric(runs, now, minutes=240)], now)
+    assert found.first()["description"] == "Failed DAGs detected in the last 240 mins: a"
