@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from starbrook.session import cut_lineage
 
-# Up to this many rows are numbered by one task; sorting them takes it well below a second.
-ONE_TASK_ROWS = 100_000
-
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -22,18 +19,13 @@ def number_rows(
     name: str,
     start: int = 0,
     freeze: Callable[[DataFrame], DataFrame] = cut_lineage,
-    at_most: int | None = None,
 ) -> DataFrame:
     """Adds ``name`` = start + 1, start + 2, ... following ``order`` (must be a total order).
 
     Rows are range-partitioned and sorted, then frozen together with their place, because range
     bounds are sampled and a recomputed partition must not renumber rows. Only one row count per
-    partition meets in a single task; the rows themselves are brought together only if the caller
-    has counted them and there are few (``at_most``).
+    partition meets in a single task.
     """
-    if at_most is not None and at_most <= ONE_TASK_ROWS:
-        place = F.row_number().over(W.orderBy(*order)).cast("bigint")
-        return df.withColumn(name, place + F.lit(start).cast("bigint"))
     placed = freeze(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -199,7 +199,7 @@ class Ingest:
         freeze = self._freezer(attempt, f"numbered_{dim.table}")
         order = [F.col(dim.natural)]
         versions = dim.conform(
-            number_rows(new, order, dim.key, start, freeze, at_most=staged.count)
+            number_rows(new, order, dim.key, start, freeze)
         )
         if known is not None and dim.table == "dim_customer":
             versions = versions.unionByName(overlay_customers(known, members, small))

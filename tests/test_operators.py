@@ -11,6 +11,7 @@ from starbrook.operators.locate import locate, overlapping_ranges
 from starbrook.operators.numbering import number_rows
 from starbrook.schemas import IP_RANGE_SCHEMA
 from starbrook.sources.events import parse_events
+from starbrook.sources.ip_ranges import read_ip_ranges
 
 
 def plan(df):
@@ -212,3 +213,12 @@ def test_parse_events(messages):
     assert (found[2]["id"], found[2]["time_stamp"]) == ("2", None)
     assert found[1]["raw_value"] == "garbage"
     assert (found[7]["id"], found[7]["product_id"]) == ("4", None)
+
+
+def test_overlapping_ranges_are_refused(spark, ranges, tmp_path):
+    ranges.write.parquet(str(tmp_path / "good"))
+    assert read_ip_ranges(spark, str(tmp_path / "good")).count() == ranges.count()
+    nested = spark.createDataFrame([(33554500, 33554600, "X", "x", "x", "x")], IP_RANGE_SCHEMA)
+    ranges.unionByName(nested).write.parquet(str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="overlap"):
+        read_ip_ranges(spark, str(tmp_path / "bad"))
