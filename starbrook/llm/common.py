@@ -75,16 +75,17 @@ def steps(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[list, list[str]]]:
 BROADCAST_ROWS = 1_000_000
 
 
-def without(docs: DataFrame, key: list[Column], going: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose key is not among the rows of ``going``, with all their columns.
+def counted(keys: DataFrame) -> DataFrame:
+    """Keys of a few bytes each, written once, and broadcast up to a counted bound so that the texts
+    they are joined with stay where they are; beyond it both sides are shuffled."""
+    keys = cut_lineage(keys)
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
-    ``going`` is broadcast up to a counted bound, so that texts stay where they are; beyond it
-    both sides are shuffled.
-    """
+
+def without(docs: DataFrame, key: list[Column], going: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is not among the rows of ``going``, with all their columns."""
     names = [f"k{i}" for i in range(len(key))]
-    going = cut_lineage(going.toDF(*names).distinct())
-    if going.count() <= BROADCAST_ROWS:
-        going = F.broadcast(going)
+    going = counted(going.toDF(*names).distinct())
     rows = docs.select(*(k.alias(n) for k, n in zip(key, names, strict=True)), F.struct("*").alias("row"))
     same = [rows[n].eqNullSafe(going[n]) for n in names]
     return rows.join(going, same, "left_anti").select("row.*")

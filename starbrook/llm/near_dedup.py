@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbrook.llm import sketch as S
-from starbrook.llm.common import BROADCAST_ROWS, id_and_text, steps, table, without
+from starbrook.llm.common import counted, id_and_text, steps, table, without
 from starbrook.llm.links import components
 from starbrook.session import cut_lineage
 
@@ -252,11 +252,9 @@ def near_classes(docs: DataFrame, sketched: DataFrame) -> DataFrame:
     nodes = cut_lineage(nodes)
     members = cut_lineage(_buckets(nodes))
     n_rows = members.count()
-    wanted = cut_lineage(
+    wanted = counted(
         members.select("node").distinct().join(nodes.select("node", "first"), "node").select("first").distinct()
     )
-    if wanted.count() <= BROADCAST_ROWS:  # 8 bytes a row; beyond that the texts are shuffled
-        wanted = F.broadcast(wanted)
     texts = id_and_text(docs)
     chosen = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first"]), "left_semi")
     own = chosen.mapInArrow(_shingles, "node binary, value binary, weight binary")

@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbrook.llm.bpe import Ranks
-from starbrook.llm.common import WORD, let_workers_import, table
+from starbrook.llm.common import WORD, counted, let_workers_import, table
 from starbrook.llm.packing import VOCABULARY, Tokens, _shared
-from starbrook.session import scratch_path
+from starbrook.session import cut_lineage, scratch_path
 
 INSERT, REVISE, DELETE = "insert", "revise", "delete"
 BPE, WORDS = "byte_bpe_50k/1", "words/1"
@@ -53,7 +53,7 @@ def count_tokens(changes: DataFrame, ranks: Ranks) -> DataFrame:
         "kind",
         F.coalesce(text, F.lit("")).alias("text"),
     ).filter("doc_id is not null")
-    counted = rows.withColumn("words", F.regexp_count("text", F.lit(WORD)).cast("bigint"))
+    with_words = rows.withColumn("words", F.regexp_count("text", F.lit(WORD)).cast("bigint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Tokens = _shared(shared)
@@ -64,7 +64,7 @@ def count_tokens(changes: DataFrame, ranks: Ranks) -> DataFrame:
                 [*kept, tokens, batch["words"]], ["doc_id", "source", "lang", "seq", "kind", "tokens", "words"]
             )
 
-    return counted.mapInArrow(run, COUNTS)
+    return with_words.mapInArrow(run, COUNTS)
 
 
 class Rollup:
@@ -103,12 +103,13 @@ class Rollup:
         if batch in self._commits():
             return False
         attempt = uuid.uuid4().hex
-        counted = count_tokens(changes, self.ranks)
+        sizes = count_tokens(changes, self.ranks)
         rank = F.when(F.col("kind") == DELETE, 2).when(F.col("kind") == REVISE, 1).otherwise(0)
         order = F.struct(F.coalesce("seq", F.lit(0).cast("bigint")), rank, "tokens", "words", "source", "lang")
-        last = counted.groupBy("doc_id").agg(
+        last = sizes.groupBy("doc_id").agg(
             F.max_by(F.struct("source", "lang", "kind", "tokens", "words"), order).alias("now")
         )
+        last = cut_lineage(last)  # read twice below, and counting is dear
         known = self.on_record().join(last.select("doc_id"), "doc_id", "left_semi")
         away = known.select("doc_id", "source", "lang", "tokenizer", -F.col("docs"), -F.col("tokens"))
         each = F.array(
@@ -143,7 +144,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> list[tuple[int, DataFrame]]:
     labels = table(spark, sf_dir, "labels")
 
     def marked(test: str) -> DataFrame:
-        return docs.join(labels.filter(test).select("doc_id").distinct(), "doc_id", "left_semi")
+        return docs.join(counted(labels.filter(test).select("doc_id").distinct()), "doc_id", "left_semi")
 
     def changes(rows: DataFrame, kind: str, seq: int) -> DataFrame:
         return rows.withColumn("kind", F.lit(kind)).withColumn("seq", F.lit(seq))
