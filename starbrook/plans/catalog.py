@@ -122,15 +122,12 @@ def event_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value", F.when(F.col("key").cast("string").cast("bigint") % 71 == 0, broken).otherwise(F.col("value"))
     )
     parsed = parse_events(messages)
-    first = F.col("option").getItem(0)
-    plain = [c for c in EVENT_SCHEMA.fieldNames() if c != "option"]
-    return parsed.select(
-        *plain,
-        first["option_id"].alias("option_id"),
-        first["option_label"].alias("option_label"),
-        "reject_reason",
-        "raw_value",
-    )
+    return parsed.select(*_event_columns(), "reject_reason", "raw_value")
+
+
+def _event_columns() -> list:
+    """All fields of an event, the whole array of options as JSON."""
+    return [F.to_json(c).alias(c) if c == "option" else F.col(c) for c in EVENT_SCHEMA.fieldNames()]
 
 
 def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -579,12 +576,12 @@ def mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
         source, "parquet", f"{out}/state", f"{out}/to", trigger={"availableNow": True}
     ).awaitTermination()
     copied = spark.read.parquet(f"{out}/to")
-    header = F.col("headers").getItem(0)
-    return copied.select(
-        F.col("key").cast("string").alias("message_key"),
-        F.get_json_object(F.col("value").cast("string"), "$.current_url").alias("current_url"),
-        F.concat_ws("=", header["key"], header["value"].cast("string")).alias("header"),
-    )
+    value = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
+    headers = F.transform("headers", lambda h: F.concat_ws("=", h["key"], h["value"].cast("string")))
+    whole = copied.select(
+        F.col("key").cast("string").alias("message_key"), F.array_join(headers, ",").alias("headers"), value.alias("event")
+    ).select("message_key", "headers", "event.*")
+    return whole.select("message_key", "headers", *_event_columns())
 
 
 def queries() -> dict[str, Query]:

@@ -47,7 +47,7 @@ raw AS (
     CASE WHEN i % 59 <> 0 AND i % 61 <> 0 THEN
       (1 + u % 25) * 16777216 + (u % 256) * 65536 + (i % 256) * 256 + (7 * i) % 256 END AS address,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS local_time,
-    'color' AS option_id, CAST(CAST(k AS INT) % 5 AS VARCHAR) AS option_label,
+    '[{{"option_id":"color","option_label":"' || (CAST(k AS INT) % 5) || '"}}]' AS option,
     CASE WHEN i % 37 <> 0 THEN k END AS product_id,
     CASE WHEN i % 29 <> 0 THEN 'https://ref' || (u % 12) || '.test/' END AS referrer_url,
     CASE WHEN i % 41 = 0 THEN NULL WHEN i % 43 = 0 THEN '' ELSE CAST(i % 7 AS VARCHAR) END
@@ -64,8 +64,7 @@ ranges AS (
     'N' || n_nationkey AS country_short, n_name AS country_name, r_name AS region_name,
     n_name || '_' || h AS city_name,
     md5(n_name || '|' || r_name || '|' || n_name || '_' || h) AS location_id
-  FROM nation JOIN region ON n_regionkey = r_regionkey, (VALUES (0), (1)) halves(h)
-  WHERE n_nationkey < 24)"""
+  FROM nation JOIN region ON n_regionkey = r_regionkey, (VALUES (0), (1)) halves(h))"""
 
 
 def _known(column: str) -> str:
@@ -371,7 +370,7 @@ def oracle_sql() -> dict[str, str]:
             for c in (
                 "id api_version collection current_url device_id user_id_db resolution "
                 "email_address ip local_time product_id referrer_url store_id time_stamp "
-                "user_agent option_id option_label"
+                "user_agent option"
             ).split()
         )
         + ", CASE WHEN i % 71 = 0 THEN 'malformed_json' END AS reject_reason, "
@@ -512,7 +511,10 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
   time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
   quantile_disc(behind, 0.5) AS p50_ms, quantile_disc(behind, 0.95) AS p95_ms,
   quantile_disc(behind, 0.99) AS p99_ms FROM timed GROUP BY 1""",
-        "mirror": raw + "SELECT id AS message_key, current_url, 'source=web' AS header FROM raw",
+        "mirror": raw
+        + "SELECT id AS message_key, 'source=web' AS headers, id, api_version, collection, current_url, "
+        "device_id, user_id_db, resolution, email_address, ip, local_time, option, product_id, "
+        "referrer_url, store_id, time_stamp, user_agent FROM raw",
     }
     statements["ip_geolocate_distinct"] = statements["ip_geolocate"]
     return {name: statement.strip() for name, statement in statements.items()}

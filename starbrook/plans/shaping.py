@@ -103,9 +103,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two halves of one /8 per nation; the last nation has none, so some addresses match nothing."""
+    """Two halves of one /8 per nation; malformed and missing addresses match nothing."""
     half = 1 << 23
-    nations = read(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 24)
+    nations = read(spark, sf_dir, "nation")
     regions = read(spark, sf_dir, "region")
     key = F.col("n_nationkey").cast("bigint")
     located = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).withColumn(
