@@ -9,7 +9,7 @@ from conftest import rows
 from starbrook.operators import alerts, feed, quality
 from starbrook.operators.retention import analyze
 from starbrook.plans import reports
-from starbrook.schemas import STAR_TABLES
+from starbrook.schemas import FACT_REFERENCES, STAR_TABLES
 from starbrook.sources import jdbc
 from starbrook.sources.events import event_source, kafka_options
 from starbrook.sources.warehouse import FACT, table_ddl
@@ -275,3 +275,23 @@ def test_the_text_names_the_window(spark):
     now = at("2024-01-01 12:00:00")
     found = alerts.evaluate_rules(alerts.rules_frame(spark), [alerts.failed_job_metric(runs, now, minutes=240)], now)
     assert found.first()["description"] == "Failed DAGs detected in the last 240 mins: a"
+
+
+def test_references_are_counted_in_one_pass(spark, tmp_path):
+    names = list(FACT_REFERENCES)
+    schema = "fact_id string, " + ", ".join(f"{n} bigint" for n in names)
+    data = [("a", 1, 1, 1, 1, 1, 1), ("b", 1, 2, None, 1, 1, 1), (None, 7, 7, 7, 1, 1, 1), ("d", 7, 1, 1, 1, 1, None)]
+    spark.createDataFrame(data, schema).write.parquet(str(tmp_path / "fact"))
+    member = lambda key: spark.createDataFrame([(1,), (2,)], f"{key} bigint")
+    tables = {dim: member(key) for dim, key in FACT_REFERENCES.values()}
+    tables = {FACT: spark.read.parquet(str(tmp_path / "fact")), **tables}
+    for report in (quality.orphan_report(tables), quality.error_rate(tables)):
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") == 1
+    found = {r[0]: tuple(r)[1:] for r in quality.orphan_report(tables).collect()}
+    assert found["no_orphan_product"] == (4, 2, 1, 0) and found["no_orphan_store"] == (4, 1, 1, 0)
+    assert found["no_orphan_location"] == (4, 1, 1, 1) and found["no_orphan_date"] == (4, 0, 0, 1)
+    errors = {(r.table_name, r.check_name): (r.total_rows, r.error_rows) for r in quality.error_rate(tables).collect()}
+    assert errors[FACT, "null_key"] == (4, 1) and errors[FACT, "missing_location"] == (4, 2)
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    assert {tuple(r)[1:] for r in quality.orphan_report(empty).collect()} == {(0, 0, 0, 0)}
