@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starbrook.llm import exact_dedup, near_dedup, packing, quality_rules, toxicity
 from starbrook.llm.bpe import Ranks
 from starbrook.session import scratch_path
+from starbrook.sources import files
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +55,15 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str, keep: bool = False) -> DataFrame:
+    """All stages over ``documents``. What a stage wrote is deleted when the next one has written,
+    unless ``keep`` asks for it."""
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before and not keep:
+            files.delete(spark, before)
+        before = path
     return docs

@@ -30,7 +30,7 @@ def test_oracle(spark, name):
 def test_stages(spark, tmp_path, monkeypatch):
     """Every stage keeps the columns, and just the rows that its operator's verdicts keep."""
     monkeypatch.setattr(corpus_pipeline, "scratch_path", lambda _, label: str(tmp_path / label))
-    packed = corpus_pipeline.run(spark, SF)
+    packed = corpus_pipeline.run(spark, SF, keep=True)
     verdicts = {
         "quality_rules": lambda d: quality_rules.judge(d, quality_rules.learn_from(spark, d, SF)).filter("kept"),
         "toxicity": lambda d: toxicity.score(d, toxicity.learn_from(spark, d, SF)).filter("predicted = 0"),
