@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import AddedToken, Tokenizer
 
-from starbrook.llm.common import let_workers_import, table
+from starbrook.llm.common import prepare_workers, table
 
 VOCABULARY = "byte_bpe_50k.json"
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -147,7 +147,7 @@ def _turn_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | Non
 
 def _ordered(turns: DataFrame) -> DataFrame:
     """Every conversation whole in one task, its rows in order."""
-    let_workers_import(turns.sparkSession)
+    prepare_workers(turns.sparkSession)
     rows = turns.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
         F.col("turn").cast("bigint").alias("turn"),

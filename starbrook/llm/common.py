@@ -23,9 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Python workers look for this package where the driver has it, too. On a cluster it is
-    installed there or named in ``--py-files``."""
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BATCH_BYTES = 4 << 20
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Batches handed to Python are bounded by bytes, so that long texts do not make large ones, and
+    workers look for this package where the driver has it, too. On a cluster it is installed there
+    or named in ``--py-files``."""
+    given = spark.conf.get(BATCH_BYTES).rstrip("b")
+    if not given.isdigit() or int(given) > MOST_BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES, str(MOST_BATCH_BYTES))
     environment, root = spark.sparkContext.environment, str(Path(starbrook.__file__).parents[1])
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
@@ -35,7 +43,7 @@ def let_workers_import(spark: SparkSession) -> None:
 def id_and_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the whole text, null read as empty. Other columns are left behind, so that
     columns of any name may accompany them."""
-    let_workers_import(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbrook.llm.bpe import Ranks
-from starbrook.llm.common import WORD, counted, let_workers_import, table
+from starbrook.llm.common import WORD, counted, prepare_workers, table
 from starbrook.llm.packing import VOCABULARY, Tokens, _shared
 from starbrook.session import cut_lineage, scratch_path
 
@@ -42,7 +42,7 @@ ROLLUP = "source string, lang string, tokenizer string, docs bigint, tokens bigi
 
 def count_tokens(changes: DataFrame, ranks: Ranks) -> DataFrame:
     """The changes with counts in place of texts; deletes are not counted."""
-    let_workers_import(changes.sparkSession)
+    prepare_workers(changes.sparkSession)
     shared = changes.sparkSession.sparkContext.broadcast(ranks)  # size of the vocabulary
     text = F.when(F.col("kind") != DELETE, F.col("text").cast("string"))
     rows = changes.select(

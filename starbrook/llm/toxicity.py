@@ -68,7 +68,7 @@ def edits_allowed(term: str) -> int:
 class Automaton:
     """The lexicon trie times the Levenshtein automata of its terms, determinised step by step."""
 
-    MOST_STATES = 20_000
+    MOST_STATES = 5_000
 
     def __init__(self, terms: list[str]):
         self.letters: list[dict[str, int]] = [{}]
@@ -262,7 +262,7 @@ def _count_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for label, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist(), strict=True):
             (toxic if label else clean).update(_prefixes(text))
-        if len(toxic) + len(clean) > 500_000:
+        if len(toxic) + len(clean) > 100_000:
             yield from _counted(toxic, clean)
     yield from _counted(toxic, clean)
 
