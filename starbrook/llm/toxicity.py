@@ -40,7 +40,7 @@ from starbrook.session import cut_lineage
 # hold a term; the least part of a term's texts that are toxic; the least log-likelihood by which
 # that part must beat the part of all texts, so that chance and copied texts make no terms.
 TRAINING_ROWS = 20_000
-MOST_TERMS = 500
+MOST_TERMS = 100
 LEAST_TEXTS = 5
 LEAST_PRECISION = 0.5
 LEAST_EVIDENCE = 15.0
@@ -68,7 +68,7 @@ def edits_allowed(term: str) -> int:
 class Automaton:
     """The lexicon trie times the Levenshtein automata of its terms, determinised step by step."""
 
-    MOST_STATES = 5_000
+    MOST_STATES = 20_000
 
     def __init__(self, terms: list[str]):
         self.letters: list[dict[str, int]] = [{}]
