@@ -5,10 +5,13 @@ are unique to both the stretch and the template are anchors; the longest increas
 the anchors' places is taken, and the gaps between them are aligned in the same way. A gap without
 anchors is aligned by its longest common subsequence. Coverage is the aligned part of the template.
 
-Stretches are windows twice as long as the template, one template length apart, so any stretch of one
-template length lies inside a window. Most texts and windows are passed over by
-counting: a window that lacks more words than coverage allows cannot reach it, and the words that
-name the license must all be there. Whole texts are read, in one pass without a shuffle.
+Stretches are windows twice as long as the template, so a notice may hold as many inserted words as
+it has words of its own. A window begins at every word that can be the first one aligned, which is any
+of those the template begins with, as far as coverage lets it lack them; so where a notice stands in
+the text does not matter. Most texts and windows are passed over by counts kept while the window
+moves: one that lacks more words than coverage allows cannot reach it, the words that name the
+license must all be there, and one that cannot beat the best so far is not aligned. Whole texts are
+read, in one pass without a shuffle.
 
 Defined results: a null or empty text has no license. Of several windows the best counts, then the
 first; of several licenses the best covered is ``license``, then the longer, then the first by name,
@@ -18,6 +21,7 @@ beyond ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -166,12 +170,26 @@ class Template:
         self.name, self.words, self.least = name, words_of(text), least
         self.counts = Counter(self.words)
         self.required = frozenset(required.split())
-        self.missing = len(self.words) - least * len(self.words)
-
-    def _reachable(self, window: list[str]) -> bool:
-        there = Counter(w for w in window if w in self.counts)
-        lacking = sum(max(0, n - there[w]) for w, n in self.counts.items())
-        return lacking <= self.missing and self.required <= there.keys()
+        size = len(self.words)
+        self.missing = size - math.ceil(least * size - 1e-9)
+        self.head = frozenset(self.words[: self.missing + 1])
+
+    def _reachable(self, words: list[str]) -> Iterator[tuple[int, int]]:
+        """Where windows that may be covered begin, and how many of the template's words they lack."""
+        places = [i for i, w in enumerate(words) if w in self.counts]
+        there = dict.fromkeys(self.counts, 0)
+        lacking, end = len(self.words), 0
+        for start in places:
+            while end < len(places) and places[end] < start + 2 * len(self.words):
+                word = words[places[end]]
+                lacking -= there[word] < self.counts[word]
+                there[word] += 1
+                end += 1
+            first = words[start]
+            if first in self.head and lacking <= self.missing and all(there[w] for w in self.required):
+                yield start, lacking
+            there[first] -= 1
+            lacking += there[first] < self.counts[first]
 
     def find(self, words: list[str], present: set[str]) -> Found | None:
         """The best window of a text whose words in any template are ``present``."""
@@ -179,11 +197,10 @@ class Template:
         if not self.required <= present or lacking > self.missing:
             return None
         size, best = len(self.words), None
-        for start in range(0, max(1, len(words) - size), size):
-            window = words[start : start + 2 * size]
-            if not self._reachable(window):
+        for start, lacking in self._reachable(words):
+            if best is not None and (size - lacking) / size <= best.coverage:
                 continue
-            pairs = align(window, self.words)
+            pairs = align(words[start : start + 2 * size], self.words)
             coverage = len(pairs) / size
             named = self.required <= {self.words[j] for _, j in pairs}
             if named and coverage >= self.least and (best is None or coverage > best.coverage):

@@ -62,6 +62,19 @@ def test_changed_license_texts(spark):
     assert found[7].licenses == "Apache-2.0,MIT"
 
 
+def test_notices_with_inserted_words_at_every_offset():
+    noise = [f"noise{i}" for i in range(400)]
+    short = "Licensed under the terms of the Apache Software License, Version 2.0"
+    lines = L.LICENSES[4][2].split()
+    long = " ".join(w if k % 9 else f"{w} dnl br" for k, w in enumerate(lines))
+    for notice, name in ((short, "Apache-2.0"), (long, "MIT")):
+        scanner, size = L.Scanner(L.LICENSES), len(L.words_of(notice))
+        for k in range(2 * size):
+            found = scanner.scan(" ".join([*noise[:k], notice, *noise[k:]]))
+            assert [(f.name, f.coverage) for f in found] == [(name, 1.0)], k
+            assert found[0].first == k and found[0].last - k in (size - 1, size - 2, size - 3), k
+
+
 def test_odd_rows(odd, none):
     found = L.scan(odd).collect()
     assert len(found) == odd.count() and {r.license for r in found} == {None}
