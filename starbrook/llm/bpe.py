@@ -12,8 +12,8 @@ Distinct pieces are merged together: their pair ranks form one matrix, and every
 best pair of every row. Pieces met before come from a bounded cache. Ids keep the byte offset of
 each token, from which decoding cuts the bytes of each text again.
 
-Defined results: a null text is empty, and an empty text has no ids. Strings of special tokens are
-ordinary text. Rows are encoded each for itself. An empty table gives an empty result. Columns
+Defined results: a null text is empty, and an empty text has no ids. Strings of added
+tokens are ordinary text to an ``Encoder``. Rows are encoded each for itself. An empty table gives an empty result. Columns
 beyond ``doc_id`` and ``text`` are ignored.
 """
 
@@ -161,13 +161,14 @@ class Ranks:
     pairs: np.ndarray  # left id * size + right id, sorted
     merged: np.ndarray
     single: np.ndarray  # id of each byte
+    added: tuple[tuple[str, int], ...] = ()  # strings with an id of their own, matched before the merges
 
     @property
     def size(self) -> int:
         return len(self.begin)
 
     @staticmethod
-    def of(ranks: dict[bytes, int]) -> Ranks:
+    def of(ranks: dict[bytes, int], added: tuple[tuple[str, int], ...] = ()) -> Ranks:
         size = max(ranks.values()) + 1
         tokens = [b""] * size
         for token, i in ranks.items():
@@ -188,6 +189,7 @@ class Ranks:
             keys,
             np.array([pairs[k] for k in keys.tolist()], dtype=np.int64),
             np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64),
+            added,
         )
 
     @staticmethod
@@ -203,9 +205,14 @@ class Ranks:
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         shown = {chr(b): b for b in visible}
         shown |= {chr(0x100 + k): b for k, b in enumerate(b for b in range(256) if b not in set(visible))}
-        special = {t["content"] for t in content["added_tokens"]}
+        tokens = content["added_tokens"]
+        for token in tokens:
+            if token["single_word"] or token["lstrip"] or token["rstrip"]:
+                raise ValueError(f"added token {token['content']!r} does not stand for its string alone")
+        added = {t["content"]: t["id"] for t in tokens}
         vocabulary = content["model"]["vocab"].items()
-        return Ranks.of({bytes(shown[c] for c in token): i for token, i in vocabulary if token not in special})
+        ranks = {bytes(shown[c] for c in token): i for token, i in vocabulary if token not in added}
+        return Ranks.of(ranks, tuple(added.items()))
 
 
 def expand(body: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:

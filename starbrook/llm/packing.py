@@ -13,13 +13,15 @@ chosen by hash, each about as many as there are open sequences, and from long to
 chunk; so the short ones fill what the long ones left, before it has to close. What is lost are the
 last open sequences of each task, and tasks are as few as their size allows.
 
-Defined results: a null or empty text is the closing id alone. Equal or repeated rows are packed
+Defined results: a null or empty text is the closing id alone. The string of an added token in a text
+is that token, as in ``tokenizers``. Equal or repeated rows are packed
 each for itself. An empty table gives an empty result. Columns beyond ``doc_id`` and ``text`` are
 ignored.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -47,8 +49,9 @@ PLACED = PIECES + ", sequence_id bigint, offset bigint"
 
 
 class Tokens:
-    """Ids of a text. The merges run in the compiled library; a run of white space too long for
-    its pattern engine is encoded on arrays, with the same ids."""
+    """Ids of a text. The text is cut at the vocabulary's added tokens, which have ids of their own.
+    The merges run in the compiled library; a run of white space too long for its pattern engine is
+    encoded on arrays, with the same ids."""
 
     def __init__(self, ranks: Ranks):
         body, begin, length = ranks.body.tobytes(), ranks.begin.tolist(), ranks.length.tolist()
@@ -59,8 +62,19 @@ class Tokens:
             special_tokens={},
         )
         self.arrays = Encoder(ranks)
+        self.added = dict(ranks.added)
+        # of two that begin at one place, the longer
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
 
     def ids(self, text: str) -> np.ndarray:
+        if self.cuts is None or self.cuts.search(text) is None:
+            return self._merged(text)
+        parts = self.cuts.split(text)  # every second one is an added token
+        ids = [[self.added[p]] if k % 2 else self._merged(p) for k, p in enumerate(parts)]
+        return np.concatenate([np.asarray(i, dtype=np.int64) for i in ids])
+
+    def _merged(self, text: str) -> np.ndarray:
         try:
             return self.engine.encode_to_numpy(text, disallowed_special=())
         except ValueError:
@@ -71,7 +85,7 @@ _tokens: dict[tuple, Tokens] = {}
 
 
 def _shared(ranks: Broadcast) -> Tokens:
-    key = ranks.value.size, int(ranks.value.pairs.sum())
+    key = ranks.value.size, int(ranks.value.pairs.sum()), ranks.value.added
     if key not in _tokens:
         _tokens[key] = Tokens(ranks.value)
     return _tokens[key]

@@ -43,6 +43,19 @@ def test_pieces_are_those_of_the_tokenizer(spark, documents, rows, ranks):
     assert check_places(found) <= 1.02 * -(-total // 1024) + 1
 
 
+def test_added_tokens_are_those_of_the_tokenizer(spark, ranks):
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, f"{end}{end} it's", f"two  {end}  blanks \n{end}\n", f"<|endoftext|{end}|>", f"é{end}s",
+             "<|endoftext |>", f"it'{end}s", f"{end}" * 1500, "\t \n" + end, " " * 1_200_000 + f"x{end} y"]
+    own, tokens = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY)), packing.Tokens(ranks)
+    want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 50256, 65]
+    assert [tokens.ids(t).tolist() for t in texts] == want
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = packing.pieces(rows, ranks).groupBy("doc_id").sum("length").collect()
+    assert {r[0]: r[1] for r in found} == {k: len(ids) + 1 for k, ids in enumerate(want)}
+
+
 def test_odd_rows(odd, none, ranks):
     found = packing.pack(packing.pieces(odd, ranks)).collect()
     check_places(found)

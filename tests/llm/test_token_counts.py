@@ -44,6 +44,12 @@ def test_query(spark, ranks):
     assert found == brute(ranks, docs)
 
 
+def test_added_tokens_count_as_one(spark, ranks):
+    rows = [("insert", 1, "a", "en", "a<|endoftext|>b", 0, 0, ""), ("insert", 2, "a", "en", "<|endoftext|>" * 3, 0, 0, "")]
+    found = T.count_tokens(spark.createDataFrame(rows, COLUMNS), ranks).collect()
+    assert {r.doc_id: r.tokens for r in found} == {1: 3, 2: 3}
+
+
 def test_batches(spark, ranks, tmp_path):
     rollup = T.Rollup(spark, str(tmp_path / "rollup"), ranks)
     assert totals(rollup) == {}
