@@ -7,8 +7,9 @@ digest), the full digest in every slot, and the slot's winner and number of rows
 the distinct digests of a delivery to the shards, computes each one's slot and compares all 32
 bytes: equal digests are repeats of the slot's group, and the others are grouped among themselves.
 
-Digests are combined before every shuffle, so a group of copies of any size arrives as one row, and
-shards hold about the same number of digests whatever the data. Only the last step, which hands
+Digests are combined before every shuffle, so a group of copies of any size arrives as one row. There
+are as many shards as the distinct digests of history and delivery together ask for, so what meets in
+one of them is bounded however the rows are split between the two. Only the last step, which hands
 each document its group, joins by digest; it is a plain equi-join that adaptive execution splits
 when one text holds a large part of the rows.
 
@@ -192,15 +193,16 @@ def match(index: DataFrame, delivery: DataFrame, shards: int) -> DataFrame:
 
 
 def shards_for(digests: int) -> int:
+    """Shards for the digests of both sides, as both meet in one group of a cogroup."""
     return max(1, -(-digests // SHARD_DIGESTS))
 
 
 def merged_groups(history: DataFrame, delivery: DataFrame) -> DataFrame:
     """Groups of equal digests over both, the second looked up in an index of the first."""
-    known = cut_lineage(_groups(history))
-    shards = shards_for(known.count())
+    known, asked = cut_lineage(_groups(history)), cut_lineage(_groups(delivery))
+    shards = shards_for(known.count() + asked.count())
     index = cut_lineage(build_index(known, shards))
-    return match(index, _groups(delivery), shards)
+    return match(index, asked, shards)
 
 
 def _digests(docs: DataFrame) -> DataFrame:

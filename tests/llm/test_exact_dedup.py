@@ -44,6 +44,25 @@ def test_odd_rows(odd, none):
     assert X.exact_groups(none).collect() == [] and X.drop_repeats(none).collect() == []
 
 
+def test_shards_follow_both_sides(spark, monkeypatch):
+    """One small id that lies apart leaves a history of one digest, an empty history none."""
+    monkeypatch.setattr(X, "SHARD_DIGESTS", 20)
+    sizes = []
+
+    def watched(index, asked, shards, own=X.match):
+        sizes.append(asked.groupBy(X.shard_of(shards)).count().agg({"count": "max"}).first()[0])
+        return own(index, asked, shards)
+
+    monkeypatch.setattr(X, "match", watched)
+    rows = [(-(10**12), "apart"), *((i, f"text {i % 300}") for i in range(400))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert X._deliveries(docs)[0].count() == 1
+    assert sorted(map(tuple, X.exact_groups(docs).collect()), key=str) == brute(rows)
+    digests = X._digests(docs)
+    assert X.merged_groups(digests.limit(0), digests).count() == 301
+    assert len(sizes) == 2 and max(sizes) <= 60
+
+
 def test_history_and_delivery(spark):
     """Repeats of the history, and repeats within the delivery, at several shards."""
     history = spark.range(500).selectExpr("id as doc_id", "unhex(sha2(cast(id % 90 as string), 256)) as digest")
