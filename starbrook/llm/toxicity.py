@@ -23,6 +23,7 @@ held out.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -30,21 +31,23 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbrook.llm.common import id_and_text, labelled_sample, steps, table, training_fold
 from starbrook.session import cut_lineage
 
-# Learning: labelled rows used at most; the largest lexicon; the least number of toxic texts that
-# hold a term; the least part of a term's texts that are toxic; the least log-likelihood by which
-# that part must beat the part of all texts, so that chance and copied texts make no terms.
+# Learning: labelled rows used at most; the least number of toxic texts that hold a term; the least
+# part of a term's texts that are toxic; the least log-likelihood by which that part must beat the
+# part of all texts, so that chance makes no terms. Near-copies of one label are one text here.
 TRAINING_ROWS = 20_000
-MOST_TERMS = 100
 LEAST_TEXTS = 5
 LEAST_PRECISION = 0.5
 LEAST_EVIDENCE = 15.0
 PRECISE = 0.9
+SHINGLE = 4  # words; texts that share a band of minima of their shingles' hashes are near-copies
+BANDS, BAND_ROWS = 12, 2
 UNSEEN_EDIT = 0.5  # weight of an edit never met in training, as a part of the weight without it
 SHORTEST, LONGEST = 3, 12
 END = "\n"  # closes a term that is a whole word; no word contains it
@@ -257,55 +260,125 @@ def _prefixes(text: str) -> set[str]:
     return found
 
 
-def _count_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    toxic, clean = Counter(), Counter()
+def bands(text: str) -> list[int]:
+    """A number for each band of a text; near-copies share one with high probability."""
+    words = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in words_of(text)], dtype=np.uint64)
+    if not len(words):
+        return []
+    k = min(SHINGLE, len(words))
+    # fixed odd numbers; products wrap
+    mixed = np.zeros(len(words) - k + 1, dtype=np.uint64)
+    for j in range(k):
+        mixed = (mixed ^ words[j : len(words) - k + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    mixed, found = np.unique(mixed), []
+    for band in range(BANDS):
+        value = k * BANDS + band
+        for row in range(BAND_ROWS):
+            hashed = (mixed ^ np.uint64(0xD1B54A32D192ED03 * (band * BAND_ROWS + row + 1) % 2**64)) * np.uint64(
+                0xBF58476D1CE4E5B9
+            )
+            hashed ^= hashed >> np.uint64(32)
+            value = value * 0x100000001B3 + int((hashed * np.uint64(0x94D049BB133111EB)).min())
+        found.append(value % 2**63)
+    return found
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for label, text in zip(batch["label"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            (toxic if label else clean).update(_prefixes(text))
-        if len(toxic) + len(clean) > 100_000:
-            yield from _counted(toxic, clean)
-    yield from _counted(toxic, clean)
+        found = [bands(t) for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch["hash"], batch["label"].cast(pa.int32()), pa.array(found, pa.list_(pa.int64()))],
+            ["hash", "label", "bands"],
+        )
+
+
+def families(rows: DataFrame) -> tuple[dict[int, int], int, int]:
+    """Of labelled rows (``hash``, ``text``, ``label``): the family of each that has near-copies of its
+    label, named by one of its hashes; and the numbers of families and of toxic ones."""
+    # the driver holds a few numbers for each row of the sample
+    seen = rows.select("hash", "label", "text").mapInArrow(_bands, "hash bigint, label int, bands array<bigint>")
+    held = sorted(seen.collect(), key=lambda r: (r["hash"], r["label"]))
+    above = list(range(len(held)))
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = i = above[above[i]]
+        return i
+
+    first: dict[tuple[int, int], int] = {}
+    for i, r in enumerate(held):
+        for band in r["bands"]:
+            a, b = top(first.setdefault((r["label"], band), i)), top(i)
+            above[max(a, b)] = min(a, b)
+    members = Counter(top(i) for i in range(len(held)))
+    named = {r["hash"]: held[top(i)]["hash"] for i, r in enumerate(held) if members[top(i)] > 1}
+    return named, len(members), sum(held[i]["label"] for i in members)
+
+
+def _count_prefixes(named: Broadcast):
+    """Counts of the texts that stand alone, and each term once for a family (of 1 label)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, own = Counter(), named.value
+        for batch in batches:
+            columns = (batch[c].to_pylist() for c in ("hash", "label", "text"))
+            for key, label, text in zip(*columns, strict=True):
+                family = own.get(key)
+                if family is None:
+                    counts.update((term, None, label) for term in _prefixes(text))
+                else:
+                    counts.update(dict.fromkeys(((term, family, label) for term in _prefixes(text)), 1))
+                if len(counts) > 200_000:
+                    yield _counted(counts)
+        yield _counted(counts)
 
-def _counted(toxic: Counter, clean: Counter) -> Iterator[pa.RecordBatch]:
-    terms = list(toxic.keys() | clean.keys())
-    yield pa.RecordBatch.from_pydict(
+    return run
+
+
+def _counted(counts: Counter) -> pa.RecordBatch:
+    keys = list(counts)
+    batch = pa.RecordBatch.from_pydict(
         {
-            "term": pa.array(terms, pa.string()),
-            "toxic": pa.array([toxic[t] for t in terms], pa.int64()),
-            "clean": pa.array([clean[t] for t in terms], pa.int64()),
+            "term": pa.array([t for t, _, _ in keys], pa.string()),
+            "family": pa.array([f for _, f, _ in keys], pa.int64()),
+            "label": pa.array([x for _, _, x in keys], pa.int32()),
+            "n": pa.array([counts[k] if k[1] is None else 1 for k in keys], pa.int64()),
         }
     )
-    toxic.clear()
-    clean.clear()
+    counts.clear()
+    return batch
 
 
 def lexicon(rows: DataFrame) -> list[str]:
     """Terms from labelled rows (``text``, ``label``): of the beginnings that the same texts hold,
-    the longest; none that a precise shorter term already covers."""
-    counted = (
-        rows.select("text", "label")
-        .mapInArrow(_count_prefixes, "term string, toxic bigint, clean bigint")
-        .groupBy("term")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    the longest; none that a precise shorter term already covers. All that pass the tests are kept."""
+    rows = rows.select(F.xxhash64("text").alias("hash"), "label", "text")
+    named, texts, toxic = families(rows)
+    shared = rows.sparkSession.sparkContext.broadcast(named)  # two numbers a row of the sample
+    each = rows.mapInArrow(_count_prefixes(shared), "term string, family bigint, label int, n bigint")
+    n = F.when(F.col("family").isNull(), F.sum("n")).otherwise(F.max("n"))
+    once = each.groupBy("term", "family", "label").agg(n.alias("n"))
+    counted = once.groupBy("term").agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
+        F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"),
     )
-    base = rows.agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
+    base = toxic / texts if texts else 0.0
     precision = F.col("toxic") / (F.col("toxic") + F.col("clean"))
     telling = counted.withColumn("precision", precision).filter(
         (F.col("toxic") >= LEAST_TEXTS)
         & (F.col("precision") >= LEAST_PRECISION)
         & (F.col("toxic") * F.log(F.col("precision") / F.lit(max(base, 1e-9))) >= LEAST_EVIDENCE)
     )
-    best = telling.orderBy(F.desc(F.col("toxic") * F.col("precision")), "term").limit(20 * MOST_TERMS)
-    held = {r["term"]: r for r in best.collect()}  # bounded by the limit
+    # every term stands in LEAST_TEXTS texts of the sample, which bounds them
+    held = {r["term"]: r for r in telling.collect()}
     same = {t[:-1] for t, r in held.items() if t[:-1] in held and r["toxic"] >= 0.98 * held[t[:-1]]["toxic"]}
-    chosen: list[str] = []
+    chosen: set[str] = set()
     for term in sorted(held.keys() - same, key=lambda t: (len(t), t)):
         precise = any(term[:k] in chosen and held[term[:k]]["precision"] >= PRECISE for k in range(1, len(term)))
         if not precise:
-            chosen.append(term)
-    chosen.sort(key=lambda t: (-held[t]["toxic"] * held[t]["precision"], t))
-    return sorted(chosen[:MOST_TERMS])
+            chosen.add(term)
+    return sorted(chosen)
 
 
 def _count_hits(terms: list[str]):

@@ -79,6 +79,24 @@ def test_held_out_accuracy_and_misspellings(spark, odd, none):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_every_term_with_evidence_is_kept(spark):
+    """Many insults, each in few texts; and a family of toxic near-copies, which counts once."""
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnoprstuvwz") for _ in range(n))
+    insults, words = sorted({letters(8) for _ in range(150)}), [letters(5) for _ in range(200)]
+    rows = [(" ".join(rng.choice(words) for _ in range(40)), 0) for _ in range(1200)]
+    for k in range(400):
+        own = [insults[(6 * k + j) % len(insults)] for j in range(6)]
+        rows.append((" ".join(own[j // 6] if j % 6 == 0 else rng.choice(words) for j in range(36)), 1))
+    copied = [letters(8) for _ in range(60)]
+    for k in range(40):
+        rows.append((" ".join([*copied[:30], f"only{k}", *copied[30:]]), 1))
+    terms = T.lexicon(spark.createDataFrame(rows, "text string, label int"))
+    automaton = T.Automaton(terms)
+    assert len(terms) > 100 and all(automaton.match(w) for w in insults)
+    assert not [t for t in terms for w in copied if (w + T.END).startswith(t) and not any(i.startswith(t) for i in insults)]
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels, _ = training(spark, 120)
     held = T.training_fold()
