@@ -110,10 +110,17 @@ def _counts(text: str) -> dict[str, Column]:
     }
 
 
+def _held() -> Column:
+    """Always 0, but not deterministic to the optimizer: what is added to it stays a projection of its
+    own, so that no filter on the sum moves below the arrays and evaluates them inside lambdas."""
+    return F.when(F.spark_partition_id() < 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
 def statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the five counts and ``base_failed`` of every document."""
+    """``doc_id``, the five counts and ``base_failed`` of every document. The result may be filtered,
+    joined and aggregated by any of them."""
     counted = _with_words(id_and_text(docs), "text").select(
-        "doc_id", *(c.alias(name) for name, c in _counts("text").items())
+        "doc_id", *((c + _held()).alias(name) for name, c in _counts("text").items())
     )
     return counted.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
 

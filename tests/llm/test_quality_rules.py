@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 from starbrook.llm import quality_rules as Q
@@ -84,3 +85,20 @@ def test_query(spark):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     ]
     assert all(not r.kept for r in found.collect() if r.base_failed)
+
+
+def test_verdicts_can_be_filtered_and_joined(spark):
+    """A filter must not be evaluated inside the lambdas below it, which long texts make endless."""
+    sizes = [1, 60, 1_000, 30_000]
+    texts = [(n, " ".join(f"w{i % 700}" for i in range(n))) for n in sizes]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    judged = Q.judge(docs, [(Q.Condition("symbol_rate", True, 0.3),)])
+    begun = time.monotonic()
+    assert sorted(r.doc_id for r in judged.filter("kept").collect()) == [60]
+    assert [r.doc_id for r in judged.filter("n_repeat_words > 900").collect()] == [30_000]
+    other = spark.createDataFrame([(1_000, "x"), (60, "y")], "doc_id bigint, y string")
+    joined = judged.join(other, "doc_id").filter("n_words > 100")
+    assert [(r.doc_id, r.y) for r in joined.collect()] == [(1_000, "x")]
+    total = judged.filter("not kept").agg({"n_words": "sum"}).first()[0]
+    assert total == 1 + 1_000 + 30_000
+    assert time.monotonic() - begun < 60
