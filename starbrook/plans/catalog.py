@@ -18,7 +18,7 @@ from starbrook.schemas import EVENT_SCHEMA, FACT_REFERENCES, STAR_TABLES
 from starbrook.session import scratch_path, use_utc
 from starbrook.sources.events import event_source, parse_events, to_messages
 from starbrook.sources.warehouse import BATCH, FACT, REJECTS, RUN_LOG, Warehouse
-from starbrook.streaming.ingest import Ingest
+from starbrook.streaming.ingest import LOADED, Ingest
 from starbrook.streaming.mirror import start_mirror
 from starbrook.streaming.monitor import read_lag, read_throughput, start_lag, start_throughput
 
@@ -191,7 +191,7 @@ def dimension_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of the members a delivery mentions: the last of three, after the first two."""
     warehouse = star(spark, sf_dir, "slices")
-    before = warehouse.snapshot(before=shaping.LAST_SLICE)
+    before = warehouse.snapshot(upto=warehouse.attempt_of(LOADED, shaping.LAST_SLICE - 1))
     raw = shaping.raw_events(spark, sf_dir).filter(F.col("slice") == shaping.LAST_SLICE)
     prepared = prepare_events(_wire(raw), shaping.ip_ranges(spark, sf_dir))
     parts = []

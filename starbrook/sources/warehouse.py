@@ -104,11 +104,12 @@ class Warehouse:
     def run_log(self) -> DataFrame:
         return self.stored(RUN_LOG).drop(BATCH)
 
-    def snapshot(self) -> Snapshot:
-        """The newest state."""
+    def snapshot(self, upto: int | None = None) -> Snapshot:
+        """The newest state, or the one that attempt ``upto`` left."""
         good = F.col("state") == "success"
         marks = F.struct("attempt", F.map_entries("key_high_water").alias("marks"))
-        runs = self.run_log().groupBy("attempt").agg(F.max(F.when(good, marks)).alias("c"))
+        log = self.run_log() if upto is None else self.run_log().filter(F.col("attempt") <= upto)
+        runs = log.groupBy("attempt").agg(F.max(F.when(good, marks)).alias("c"))
         row = runs.agg(
             F.max("c").alias("c"),
             F.collect_set(F.when(F.col("c").isNull(), F.col("attempt"))).alias("unfinished"),
@@ -130,6 +131,11 @@ class Warehouse:
         batch = (F.col("feed") == feed) & (F.col("run_id") == batch_id)
         return not self.run_log().filter(batch & (F.col("state") == "success")).isEmpty()
 
+    def attempt_of(self, feed: str, batch_id: int) -> int | None:
+        """The attempt by which a batch of a feed was loaded; None if it was not."""
+        loaded = (F.col("feed") == feed) & (F.col("run_id") == batch_id) & (F.col("state") == "success")
+        return self.run_log().filter(loaded).agg(F.min("attempt").alias("n")).first()["n"]
+
     def highest_batch(self, feed: str) -> int:
         """The largest batch number of a feed that has succeeded, or -1."""
         done = self.run_log().filter((F.col("feed") == feed) & (F.col("state") == "success"))
