@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import starbrook
-from starbrook.session import cut_lineage
+from starbrook.session import cut_lineage, scratch_path
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,6 +80,14 @@ def steps(ids: pa.Array, texts: pa.Array) -> Iterator[tuple[list, list[str]]]:
         yield ids.slice(start).to_pylist(), texts.slice(start).to_pylist()
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: lineage is cut as by a checkpoint,
+    and tables of many short strings take a fraction of its space."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 BROADCAST_ROWS = 1_000_000
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from starbrook.llm.bpe import op4_byte_bpe
 from starbrook.llm.chat import op7_chat_formatting
+from starbrook.llm import divergence
 from starbrook.llm.exact_dedup import op2_exact_dedup
 from starbrook.llm.licenses import op9_license_scans
 from starbrook.llm.near_dedup import op6_minhash_near_dedup
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_license_scans": op9_license_scans,
     "pipeline": corpus_pipeline.run,
     "op10_quality_rules": op10_quality_rules,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLES = {
@@ -46,6 +48,7 @@ ORACLES = {
             text_sha256
         FROM folded WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op13_source_divergence": divergence.ORACLE,
 }
 
 
