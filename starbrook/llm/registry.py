@@ -12,6 +12,7 @@ from starbrook.llm.chat import op7_chat_formatting
 from starbrook.llm import divergence
 from starbrook.llm.exact_dedup import op2_exact_dedup
 from starbrook.llm.licenses import op9_license_scans
+from starbrook.llm.lm_scoring import op11_lm_scoring
 from starbrook.llm.near_dedup import op6_minhash_near_dedup
 from starbrook.llm.packing import op1_best_fit_packing
 from starbrook.llm.quality_rules import op10_quality_rules
@@ -31,6 +32,7 @@ QUERIES = {
     "op9_license_scans": op9_license_scans,
     "pipeline": corpus_pipeline.run,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lm_scoring": op11_lm_scoring,
     "op13_source_divergence": divergence.op13_source_divergence,
 }
 
