@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from starbrook.llm.bpe import op4_byte_bpe
 from starbrook.llm.chat import op7_chat_formatting
-from starbrook.llm import divergence
+from starbrook.llm import collocations, divergence
 from starbrook.llm.exact_dedup import op2_exact_dedup
 from starbrook.llm.licenses import op9_license_scans
 from starbrook.llm.lm_scoring import op11_lm_scoring
@@ -33,6 +33,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op10_quality_rules": op10_quality_rules,
     "op11_lm_scoring": op11_lm_scoring,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
     "op13_source_divergence": divergence.op13_source_divergence,
 }
 
@@ -50,6 +51,7 @@ ORACLES = {
             text_sha256
         FROM folded WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op12_phrase_collocations": collocations.ORACLE,
     "op13_source_divergence": divergence.ORACLE,
 }
 
