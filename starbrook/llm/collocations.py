@@ -48,9 +48,9 @@ UNKNOWN = "und"
 # Size of a level's bitmap, in bits; a parameter to raise with the corpus.
 FILTER_BITS = 1 << 26
 # Entries a task's trie may hold before subtrees are spilled, and words it may number.
-HELD = 400_000
+HELD = 600_000
 HELD_WORDS = 1_000_000
-SALTS = 16
+SALTS = 8
 
 BREAK = b"\xff"  # between pieces; no UTF-8 text has this byte
 # A-Z to a-z, tabs to spaces, and the characters that end a piece to line feeds
@@ -172,27 +172,30 @@ def bitmap(frequent: DataFrame, bits: int) -> Broadcast:
 
 
 class _Numbers(dict):
-    """Ids of the frequent words of one language, from 1 on in the order they are met; 0 for others."""
+    """Ids of the words of one language, from 1 on in the order they are met, and which are frequent."""
 
     def __init__(self, lang: str, frequent: Bitmap):
         super().__init__({BREAK: 0})
         self.lang, self.frequent = _hash(lang.encode()), frequent
         self.names: list[bytes] = [b""]
-        self.hashes: list[int] = [0]
+        self.hashes = np.zeros(1, dtype=np.uint64)
+        self.kept = np.zeros(1, dtype=np.uint64)  # the id itself, or 0 for a rare word
 
     def __missing__(self, word: bytes) -> int:
-        value = _hash(word)
-        number = 0
-        if self.frequent.has(self.lang, [np.array([value], dtype=np.uint64)])[0]:
-            number = len(self.names)
-            self.names.append(word)
-            self.hashes.append(value)
-        self[word] = number
+        self[word] = number = len(self.names)
+        self.names.append(word)
         return number
 
     def ids(self, texts: list[bytes]) -> np.ndarray:
+        """The frequent words of the texts by id; 0 stands for a rare word and between pieces."""
         tokens = b"\n".join(texts).replace(b"\n", b" " + BREAK + b" ").split()
-        return np.fromiter(map(self.__getitem__, tokens), np.uint64, len(tokens))
+        ids = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        if len(self.names) > len(self.hashes):
+            new = np.array([_hash(w) for w in self.names[len(self.hashes) :]], dtype=np.uint64)
+            numbers = np.arange(len(self.hashes), len(self.names), dtype=np.uint64)
+            self.kept = np.append(self.kept, np.where(self.frequent.has(self.lang, [new]), numbers, 0).astype(np.uint64))
+            self.hashes = np.append(self.hashes, new)
+        return self.kept[ids]
 
 
 def _tally(columns: list[np.ndarray]) -> tuple[list[bytes], list[int]]:
@@ -208,8 +211,7 @@ def _tally(columns: list[np.ndarray]) -> tuple[list[bytes], list[int]]:
     at = np.flatnonzero(heads)
     keys = np.stack([p[at] for p in packed], axis=1).astype(">u8")
     size = 8 * len(packed)
-    body = keys.tobytes()
-    return [body[i : i + size] for i in range(0, len(body), size)], np.diff(np.append(at, len(order))).tolist()
+    return keys.view(f"V{size}").ravel().tolist(), np.diff(np.append(at, len(order))).tolist()
 
 
 def _sequences(ids: np.ndarray, numbers: _Numbers, level: int, pairs: Bitmap | None):
@@ -220,9 +222,8 @@ def _sequences(ids: np.ndarray, numbers: _Numbers, level: int, pairs: Bitmap | N
         at = np.flatnonzero(linked)
         yield [a[at], b[at]]
         return
-    hashes = np.array(numbers.hashes, dtype=np.uint64)
     at = np.flatnonzero(linked)
-    linked[at] = pairs.has(numbers.lang, [hashes[a[at].astype(np.int64)], hashes[b[at].astype(np.int64)]])
+    linked[at] = pairs.has(numbers.lang, [numbers.hashes[x[at].astype(np.int64)] for x in (a, b)])
     for n in range(3, LONGEST + 1):
         whole = np.ones(max(0, len(ids) - n + 1), dtype=bool)
         for k in range(n - 1):
@@ -231,21 +232,38 @@ def _sequences(ids: np.ndarray, numbers: _Numbers, level: int, pairs: Bitmap | N
         yield [ids[at + k] for k in range(n)]
 
 
+def _run_rows(lang: str, numbers: _Numbers, run: Iterator[tuple[bytes, int]], level: int) -> pa.RecordBatch:
+    """A sorted run, one row for each prefix (all but the last words) and salt: the rests of their phrases
+    in one text, as a run repeats its prefixes over and over, and the counts."""
+    keys, counts = zip(*run, strict=True)
+    ids = np.frombuffer(b"".join(keys), dtype=">u4").reshape(len(keys), -1).astype(np.int64)
+    salt = (numbers.hashes[ids[:, level - 1]] % np.uint64(SALTS)).astype(np.int64)
+    prefix = ids[:, : level - 1]
+    new = np.concatenate([[0], np.cumsum((prefix[1:] != prefix[:-1]).any(axis=1))])
+    order = np.argsort(new * SALTS + salt, kind="stable")
+    ids, group = ids[order], (new * SALTS + salt)[order]
+    heads = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1])
+    names, edges = numbers.names, np.append(heads, len(order)).tolist()
+    rest = [names[i] for i in ids[:, level - 1].tolist()]
+    if level > 2:
+        rest = [r + b" " + names[i] if i else r for r, i in zip(rest, ids[:, level].tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([lang] * len(heads), pa.string()),
+            pa.array([b" ".join([names[i] for i in p]) for p in ids[heads, : level - 1].tolist()], pa.binary()),
+            pa.array((group[heads] % SALTS).astype(np.int32)),
+            pa.array([b"\n".join(rest[a:b]) for a, b in zip(edges, edges[1:], strict=False)], pa.binary()),
+            pa.ListArray.from_arrays(np.array(edges, dtype=np.int32), np.array(counts, dtype=np.int64)[order]),
+        ],
+        ["lang", "prefix", "salt", "rests", "counts"],
+    )
+
+
+RUNS = "lang string, prefix binary, salt int, rests binary, counts array<bigint>"
+
+
 def _count_phrases(level: int, words: Broadcast, pairs: Broadcast | None, held: int):
-    """Runs of a level's phrases: language, prefix (all but the last words), rest, count."""
-    prefix_words = level - 1
-
-    def rows(lang: str, names: list[bytes], run) -> pa.RecordBatch:
-        prefix, rest, n = [], [], []
-        for key, times in run:
-            ids = np.frombuffer(key, dtype=">u4").tolist()
-            phrase = [names[i] for i in ids if i]
-            prefix.append(b" ".join(phrase[:prefix_words]))
-            rest.append(b" ".join(phrase[prefix_words:]))
-            n.append(times)
-        columns = [pa.array([lang] * len(n), pa.string()), pa.array(prefix, pa.binary())]
-        columns += [pa.array(rest, pa.binary()), pa.array(n, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "rest", "n"])
+    """The sorted runs of a level's phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, _Numbers] = {}
@@ -254,13 +272,14 @@ def _count_phrases(level: int, words: Broadcast, pairs: Broadcast | None, held:
         def spill(keep: int):
             for lang, trie in tries.items():
                 for part in trie.spill(keep // len(tries)):
-                    yield rows(lang, known[lang].names, part)
+                    yield _run_rows(lang, known[lang], part, level)
 
         for batch in batches:
             for lang, texts in _texts(batch).items():
-                numbers = known.setdefault(lang, _Numbers(lang, words.value))
-                ids = numbers.ids(texts)
-                for columns in _sequences(ids, numbers, level, pairs.value if pairs else None):
+                if lang not in known:
+                    known[lang] = _Numbers(lang, words.value)
+                ids = known[lang].ids(texts)
+                for columns in _sequences(ids, known[lang], level, pairs.value if pairs else None):
                     tries[lang].add(*_tally(columns))
             if sum(map(len, tries.values())) > held:
                 yield from spill(held // 2)
@@ -274,17 +293,15 @@ def _count_phrases(level: int, words: Broadcast, pairs: Broadcast | None, held:
 
 
 def _phrases(rows: DataFrame, level: int, words: Broadcast, pairs: Broadcast | None, held: int) -> DataFrame:
-    runs = rows.mapInArrow(
-        _count_phrases(level, words, pairs, held), "lang string, prefix binary, rest binary, n bigint"
-    )
-    salt = F.pmod(F.xxhash64("rest"), F.lit(SALTS)).cast("int")
+    runs = rows.mapInArrow(_count_phrases(level, words, pairs, held), RUNS).repartition("lang", "prefix", "salt")
+    rests = F.split(F.col("rests").cast("string"), "\n", -1)
     merged = (
-        runs.withColumn("salt", salt)
-        .repartition("lang", "prefix", "salt")
+        runs.select("lang", "prefix", "salt", F.inline(F.arrays_zip(rests.alias("rest"), F.col("counts").alias("n"))))
+        .toDF("lang", "prefix", "salt", "rest", "n")
         .groupBy("lang", "prefix", "salt", "rest")
         .agg(F.sum("n").alias("f"))
     )
-    return merged.select("lang", F.concat_ws(" ", F.col("prefix").cast("string"), F.col("rest").cast("string")).alias("phrase"), "f")
+    return merged.select("lang", F.concat_ws(" ", F.col("prefix").cast("string"), "rest").alias("phrase"), "f")
 
 
 def frequent_phrases(
