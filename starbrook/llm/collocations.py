@@ -48,9 +48,9 @@ UNKNOWN = "und"
 # Size of a level's bitmap, in bits; a parameter to raise with the corpus.
 FILTER_BITS = 1 << 26
 # Entries a task's trie may hold before subtrees are spilled, and words it may number.
-HELD = 600_000
+HELD = 800_000
 HELD_WORDS = 1_000_000
-SALTS = 8
+SALTS = 4
 
 BREAK = b"\xff"  # between pieces; no UTF-8 text has this byte
 # A-Z to a-z, tabs to spaces, and the characters that end a piece to line feeds
