@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from starbrook.operators.lookup import broadcast_if_small
+
 WINDOW = "1 hour"
 LAG_LIMIT_MILLIS = 60_000
 
@@ -78,22 +80,61 @@ def lag_percentiles(events: DataFrame, time: str, arrival: str, window: str = WI
     )
 
 
-def source_lag(progress: dict) -> dict[str, int]:
-    """Messages per topic between the newest offset and the last one read, from query progress."""
-    import json
-
-    def offsets(text) -> dict:
-        return json.loads(text) if isinstance(text, str) and text else (text or {})
-
-    behind: dict[str, int] = {}
-    for source in progress.get("sources", []):
-        newest, read = offsets(source.get("latestOffset")), offsets(source.get("endOffset"))
-        if not isinstance(newest, dict):
-            continue
-        for topic, parts in newest.items():
-            if isinstance(parts, dict):
-                done = read.get(topic, {})
-                behind[topic] = behind.get(topic, 0) + sum(
-                    int(end) - int(done.get(part, 0)) for part, end in parts.items()
-                )
-    return behind
+# The rank of a quantile read from a sketch of SKETCH_SIZE is wrong by more than this part of a window's
+# events with a probability far below one in a hundred (2.3 / 1000^0.97 is 0.0028 at 99 percent).
+SKETCH_SIZE = 1000
+RANK_ERROR = 0.01
+SHARES = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+
+
+def lag_sketches(
+    events: DataFrame, time: str, arrival: str, window: str = WINDOW, size: int = SKETCH_SIZE
+) -> DataFrame:
+    """A quantile sketch of the lag per window. Sketches are begun in the tasks, before the shuffle, and
+    merge in any order, so a window of any size takes a buffer of a few kilobytes and no task of its own."""
+    behind = F.unix_millis(arrival) - F.unix_millis(time)
+    sketched = (
+        events.withColumn("_behind", behind)
+        .filter(F.col("_behind").isNotNull())
+        .groupBy(F.window(time, window))
+        .agg(F.count(F.lit(1)).alias("events"), F.kll_sketch_agg_bigint("_behind", F.lit(size)).alias("sketch"))
+    )
+    return sketched.select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "events", "sketch"
+    )
+
+
+def merged_percentiles(sketches: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """Percentiles of each window over all its sketches, to within ``RANK_ERROR`` in rank."""
+    merged = sketches.groupBy("window_start", "window_end").agg(
+        F.sum("events").alias("events"), F.kll_merge_agg_bigint("sketch", F.lit(size)).alias("sketch")
+    )
+    values = F.kll_sketch_get_quantile_bigint("sketch", F.array(*map(F.lit, SHARES.values())))
+    return merged.withColumn("v", values).select(
+        "window_start", "window_end", "events", *(F.col("v")[i].alias(n) for i, n in enumerate(SHARES))
+    )
+
+
+def rank_errors(events: DataFrame, time: str, arrival: str, found: DataFrame, window: str = WINDOW) -> DataFrame:
+    """How far, in parts of the window's events, each percentile in ``found`` is from its rank: 0 where
+    its share lies between the parts of events below it and up to it."""
+    rows = events.select(
+        F.window(time, window).alias("w"), (F.unix_millis(arrival) - F.unix_millis(time)).alias("lag")
+    ).filter("lag is not null")
+    # a row a window; the events stay in place as long as that fits a broadcast
+    met = rows.withColumn("window_start", F.col("w.start")).join(
+        broadcast_if_small(found.drop("events", "window_end")), "window_start"
+    )
+    counts = met.groupBy("window_start").agg(
+        F.count(F.lit(1)).alias("n"),
+        *(F.count_if(F.col("lag") < F.col(c)).alias(f"below_{c}") for c in SHARES),
+        *(F.count_if(F.col("lag") <= F.col(c)).alias(f"upto_{c}") for c in SHARES),
+    )
+    zero = F.lit(0.0)
+    return counts.select(
+        "window_start",
+        *(
+            F.greatest(zero, F.col(f"below_{c}") / F.col("n") - share, share - F.col(f"upto_{c}") / F.col("n")).alias(c)
+            for c, share in SHARES.items()
+        ),
+    )

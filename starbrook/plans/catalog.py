@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,17 @@ from starbrook.schemas import EVENT_SCHEMA, FACT_REFERENCES, STAR_TABLES
 from starbrook.session import scratch_path, use_utc
 from starbrook.sources.events import event_source, parse_events, to_messages
 from starbrook.sources.warehouse import BATCH, FACT, REJECTS, RUN_LOG, Warehouse
+from starbrook.streaming.delivery import DeliveryLog, delivery_totals, read_deliveries
 from starbrook.streaming.ingest import LOADED, Ingest
 from starbrook.streaming.mirror import start_mirror
-from starbrook.streaming.monitor import read_lag, read_throughput, start_lag, start_throughput
+from starbrook.streaming.monitor import (
+    read_lag,
+    read_lag_percentiles,
+    read_throughput,
+    start_lag,
+    start_lag_sketches,
+    start_throughput,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,7 +82,46 @@ def _load_stream(spark: SparkSession, sf_dir: str) -> Warehouse:
     return warehouse
 
 
-_LOADERS = {"once": _load_once, "slices": _load_slices, "stream": _load_stream}
+def _load_suppressed(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The deliveries of ``stream`` with each message up to three times, by the number of its event: once
+    more in its own micro-batch, and once more in the next, which a restarted query reads."""
+    warehouse = _new_warehouse(spark, "suppressed")
+    ingest = Ingest(warehouse, shaping.ip_ranges(spark, sf_dir))
+    inbox, checkpoint = f"{warehouse.root}/_inbox", f"{warehouse.root}/_checkpoint"
+    raw, times = shaping.raw_events(spark, sf_dir), F.col("id").cast("bigint") % 3
+    with _listening(spark, f"{warehouse.root}/_deliveries") as log:
+        for number in range(shaping.LAST_SLICE + 2):
+            now = raw.filter(F.col("slice") == number)
+            again = raw.filter((F.col("slice") == number - 1) & (times >= 1))
+            messages = now.unionByName(now.filter(times == 2)).unionByName(again)
+            to_messages(messages).write.mode("append").parquet(inbox)
+            query = ingest.start(
+                event_source(spark, "parquet", inbox),
+                checkpoint,
+                trigger={"availableNow": True},
+                suppress_within="7 days",
+            )
+            query.awaitTermination()
+            log.wait(query)
+    return warehouse
+
+
+@contextmanager
+def _listening(spark: SparkSession, path: str):
+    log = DeliveryLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+
+
+_LOADERS = {
+    "once": _load_once,
+    "slices": _load_slices,
+    "stream": _load_stream,
+    "suppressed": _load_suppressed,
+}
 
 
 def star(spark: SparkSession, sf_dir: str, how: str = "once") -> Warehouse:
@@ -562,6 +610,55 @@ def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lag(spark, f"{out}/data")
 
 
+def suppressed_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages delivered, cut by state before the lookups, looked up, and new as facts."""
+    warehouse = star(spark, sf_dir, "suppressed")
+    log = delivery_totals(read_deliveries(spark, f"{warehouse.root}/_deliveries"))
+    runs = warehouse.run_log().filter(F.col("state") == "success")
+    loaded = runs.agg(F.sum("input_rows").alias("looked_up"), F.sum("fact_rows").alias("facts"))
+    return log.crossJoin(loaded).select(  # one row each
+        F.col("read_rows").alias("delivered"), F.col("repeats_cut").alias("cut"), "looked_up", "facts"
+    )
+
+
+MIRROR_FILES = (64, 48)
+
+
+def mirror_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a mirror over more than a hundred micro-batches and a restart, from its delivery log."""
+    out = scratch_path(spark, "deliveries")
+    messages = to_messages(shaping.raw_events(spark, sf_dir))
+    half = F.col("key").cast("string").cast("bigint") % 2 == 0
+    with _listening(spark, f"{out}/log") as log:
+        for part, files in zip((messages.filter(half), messages.filter(~half)), MIRROR_FILES, strict=True):
+            part.repartition(files).write.mode("append").parquet(f"{out}/from")
+            source = event_source(spark, "parquet", f"{out}/from", maxFilesPerTrigger="1")
+            query = start_mirror(
+                source, "parquet", f"{out}/state", f"{out}/to", trigger={"availableNow": True}
+            )
+            query.awaitTermination()
+            log.wait(query)
+    return delivery_totals(read_deliveries(spark, f"{out}/log")).drop("query", "delivered_bytes")
+
+
+def stream_lag_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles of the lag per day from sketches of each micro-batch, held against the events: whether
+    each is within the stated error of its rank."""
+    out = scratch_path(spark, "sketches")
+    rows = _with_arrival(shaping.events(spark, sf_dir)).select("ts", "arrival")
+    rows.repartition(4).write.parquet(f"{out}/from")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/from")
+    start_lag_sketches(
+        stream, "ts", "arrival", f"{out}/data", f"{out}/state", "1 day", trigger={"availableNow": True}
+    ).awaitTermination()
+    found = read_lag_percentiles(spark, f"{out}/data")
+    errors = feed.rank_errors(rows, "ts", "arrival", found, "1 day")
+    near = [(F.col(c) <= feed.RANK_ERROR).alias(f"{c[:3]}_near") for c in feed.SHARES]
+    return found.join(errors.select("window_start", *near), "window_start").select(
+        "window_start", "window_end", "events", *(f"{c[:3]}_near" for c in feed.SHARES)
+    )
+
+
 def stream_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = star(spark, sf_dir, "stream").run_log().filter(F.col("state") == "success")
     return log.select("run_id", "input_rows", "rejected_rows", "fact_rows")
@@ -604,6 +701,8 @@ def queries() -> dict[str, Query]:
         "batch_key_lookup": batch_key_lookup,
         "stream_ingest": _table(FACT, "stream"),
         "stream_run_log": stream_run_log,
+        "stream_ingest_suppressed": _table(FACT, "suppressed"),
+        "suppressed_repeats": suppressed_repeats,
         "latest_report_date": latest_report_date,
         "top_products": top_products,
         "top_countries": top_countries,
@@ -641,6 +740,8 @@ def queries() -> dict[str, Query]:
         "feed_lag_percentiles": feed_lag_percentiles,
         "stream_throughput": stream_throughput,
         "stream_lag": stream_lag,
+        "stream_lag_percentiles": stream_lag_percentiles,
         "mirror": mirror,
+        "mirror_deliveries": mirror_deliveries,
     }
     return {name: _utc(query) for name, query in registered.items()}

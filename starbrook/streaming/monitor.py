@@ -65,6 +65,27 @@ def read_lag(spark: SparkSession, path: str, limit_millis: int = feed.LAG_LIMIT_
     )
 
 
+def start_lag_sketches(
+    events: DataFrame,
+    time: str,
+    arrival: str,
+    path: str,
+    checkpoint: str,
+    window: str = feed.WINDOW,
+    size: int = feed.SKETCH_SIZE,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    def measure(batch: DataFrame) -> DataFrame:
+        return feed.lag_sketches(batch, time, arrival, window, size)
+
+    return _append(events, measure, path, checkpoint, trigger)
+
+
+def read_lag_percentiles(spark: SparkSession, path: str, size: int = feed.SKETCH_SIZE) -> DataFrame:
+    """Percentiles of the lag per window over all micro-batches so far."""
+    return feed.merged_percentiles(spark.read.parquet(path), size)
+
+
 def feed_of(spark: SparkSession, checkpoint: str) -> str:
     """The identity of the query that a checkpoint belongs to; known before its first batch."""
     metadata = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()

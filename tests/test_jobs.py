@@ -13,7 +13,9 @@ from starbrook.schemas import FACT_REFERENCES, STAR_TABLES
 from starbrook.sources import jdbc
 from starbrook.sources.events import event_source, kafka_options
 from starbrook.sources.warehouse import FACT, table_ddl
-from starbrook.streaming.mirror import delivery_counts, start_mirror
+from starbrook.streaming import delivery
+from starbrook.streaming.mirror import start_mirror
+from starbrook.streaming.suppress import without_repeats
 
 
 def at(text):
@@ -168,37 +170,124 @@ def test_storage_without_history_is_quiet(spark):
 # feed
 
 
-def test_source_lag():
-    progress = {
-        "sources": [
-            {"latestOffset": '{"t": {"0": 10, "1": 7}}', "endOffset": '{"t": {"0": 4, "1": 7}}'},
-            {"latestOffset": None, "endOffset": None},
-        ]
-    }
-    assert feed.source_lag(progress) == {"t": 6}
+def lagged(spark, lags, parts=4):
+    """Events of one window, some of them late by ``lags`` milliseconds."""
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(lags)], "i int, n bigint").repartition(parts)
+    begin = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    return rows.select(begin.alias("ts"), F.timestamp_millis(F.unix_millis(begin) + F.col("n")).alias("arrival"))
+
+
+def test_lag_sketches_merge_in_any_order(spark):
+    lags = [(i * 7919) % 20_011 for i in range(20_011)]  # each once
+    whole = lagged(spark, lags)
+    parts = [feed.lag_sketches(lagged(spark, lags[k::3]), "ts", "arrival") for k in range(3)]
+    found = feed.merged_percentiles(parts[2].unionByName(parts[0]).unionByName(parts[1]))
+    row = found.first()
+    assert row.events == 20_011
+    for name, share in feed.SHARES.items():
+        assert abs(row[name] / 20_011 - share) <= feed.RANK_ERROR
+    errors = feed.rank_errors(whole, "ts", "arrival", found).first()
+    assert all(0 <= errors[name] <= feed.RANK_ERROR for name in feed.SHARES)
+    wrong = found.withColumn("p50_ms", F.lit(15_000).cast("bigint"))
+    assert feed.rank_errors(whole, "ts", "arrival", wrong).first()["p50_ms"] > 0.2
+    # begun before the shuffle: no task gets a window's events
+    plan = feed.lag_sketches(whole, "ts", "arrival")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_kll_sketch_agg_bigint" in plan
+
+
+def test_small_windows_are_exact(spark):
+    found = feed.merged_percentiles(feed.lag_sketches(lagged(spark, [5, 1, 3, 1, None]), "ts", "arrival")).first()
+    assert (found.events, found.p50_ms, found.p99_ms) == (4, 1, 5)
+    assert feed.lag_sketches(lagged(spark, [1]).limit(0), "ts", "arrival").collect() == []
 
 
-def test_mirror_keeps_keys_and_headers(spark, tmp_path):
-    text = spark.createDataFrame([("k1", "v1"), (None, "v2"), ("k3", None)], "k string, v string")
-    source = text.selectExpr(
+# deliveries
+
+
+def messages_frame(spark, n, start=0):
+    text = spark.range(start, start + n).selectExpr("cast(id as string) k", "concat('v', id) v")
+    return text.selectExpr(
         "cast(k as binary) key", "cast(v as binary) value",
         "array(named_struct('key', 'h', 'value', cast('x' as binary))) headers",
     )
-    source.write.parquet(str(tmp_path / "from"))
 
-    def run():
-        query = start_mirror(
-            event_source(spark, "parquet", str(tmp_path / "from")), "parquet",
-            str(tmp_path / "state"), str(tmp_path / "to"), trigger={"availableNow": True},
-        )
-        query.awaitTermination()
-        return query
 
-    counts = delivery_counts(spark, run())
-    assert rows(counts) == [(0, 3, 3)]
-    run()
+def mirrored(spark, tmp_path, log):
+    query = start_mirror(
+        event_source(spark, "parquet", str(tmp_path / "from"), maxFilesPerTrigger="1"), "parquet",
+        str(tmp_path / "state"), str(tmp_path / "to"), trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    log.wait(query)
+    return query
+
+
+def test_mirror_keeps_keys_and_headers_and_its_counts_outlive_it(spark, tmp_path):
+    log = delivery.DeliveryLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    try:
+        messages_frame(spark, 7).repartition(3).write.parquet(str(tmp_path / "from"))
+        mirrored(spark, tmp_path, log)
+        messages_frame(spark, 5, 7).coalesce(1).write.mode("append").parquet(str(tmp_path / "from"))
+        mirrored(spark, tmp_path, log)
+        mirrored(spark, tmp_path, log)  # nothing new
+    finally:
+        spark.streams.removeListener(log)
+    source = spark.read.parquet(str(tmp_path / "from"))
     copied = spark.read.parquet(str(tmp_path / "to"))
     assert rows(copied) == rows(source) and copied.columns == ["key", "value", "headers"]
+    kept = delivery.read_deliveries(spark, str(tmp_path / "log"))
+    totals = delivery.delivery_totals(kept).drop("query").first()
+    size = sum(len(f"v{i}") for i in range(12))
+    assert tuple(totals) == (4, 0, 12, 12, size, 0)
+    running = delivery.running_totals(kept).orderBy("batch").collect()
+    assert [r.batch for r in running] == [0, 1, 2, 3]
+    assert [r.total for r in running][-2:] == [7, 12]
+    assert sum(r.forwarded for r in running) == 12
+
+
+def test_a_repeated_batch_is_counted_once_and_a_lost_one_is_missed(spark, tmp_path):
+    log = delivery.DeliveryLog(spark, str(tmp_path / "log"))
+    progress = {"id": "q", "name": None, "numInputRows": 4, "durationMs": {"addBatch": 1}}
+    for batch in (0, 1, 1, 3):
+        log.write({**progress, "batchId": batch})
+    totals = delivery.delivery_totals(delivery.read_deliveries(spark, log.path)).first()
+    assert (totals.batches, totals.missing_batches, totals.read_rows) == (3, 1, 12)
+
+
+def test_offset_lag(spark, tmp_path):
+    log = delivery.DeliveryLog(spark, str(tmp_path / "log"))
+    sources = [
+        {"latestOffset": '{"t": {"0": 10, "1": 7, "2": 5}, "s": {"0": 3}}', "endOffset": '{"t": {"0": 4, "1": 7}, "s": {"0": 3}}'},
+        {"latestOffset": None, "endOffset": '{"logOffset": 3}'},
+    ]
+    log.write({"id": "q", "batchId": 2, "sources": sources})
+    log.write({"id": "q", "batchId": 3, "sources": [{"endOffset": None}]})
+    found = delivery.offset_lag(delivery.read_deliveries(spark, log.path))
+    assert sorted(map(tuple, found.collect())) == [("q", 2, "s", 0), ("q", 2, "t", 11)]
+
+
+def test_repeats_are_cut_within_the_span_and_none_is_too_late(spark, tmp_path):
+    """Also over a restart. Null values and null keys are messages of their own."""
+    schema = "key binary, value binary, headers array<struct<key:string,value:binary>>"
+
+    def deliver(*pairs):
+        rows = [(k and bytearray(k, "utf8"), None if v is None else bytearray(v, "utf8"), None) for k, v in pairs]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = event_source(spark, "parquet", str(tmp_path / "in"))
+        query = (
+            without_repeats(source, "1 hour").writeStream.format("parquet")
+            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True)
+            .start(str(tmp_path / "out"))
+        )
+        query.awaitTermination()
+        found = spark.read.parquet(str(tmp_path / "out")).selectExpr("string(key)", "string(value)")
+        return sorted(map(tuple, found.collect()), key=str)
+
+    assert deliver(("a", "1"), ("a", "1"), ("a", "2"), (None, "1"), ("a", None), ("a", None)) == sorted(
+        [("a", "1"), ("a", "2"), (None, "1"), ("a", None)], key=str
+    )
+    assert len(deliver(("a", "1"), ("b", "1"), (None, "1"), ("a", ""))) == 6
 
 
 # connectors
