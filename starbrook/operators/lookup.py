@@ -110,3 +110,44 @@ def missing_members(
     """Members not among ``known``, which itself is no larger than ``members``."""
     keys = known.select(key)
     return members.join(F.broadcast(keys) if members_small else keys, key, "left_anti")
+
+
+def batch_keys(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``dimension``, ``natural_id``, ``events``: how often the rows mention each member of any dimension.
+
+    ``columns`` maps dimensions to the columns with their members. Mentions are counted before the
+    shuffle, so a member that most rows mention arrives as one row a task; null mentions nobody.
+    """
+    pairs = F.array(
+        *(
+            F.struct(F.lit(d).alias("dimension"), F.col(c).cast("string").alias("natural_id"))
+            for d, c in columns.items()
+        )
+    )
+    mentioned = rows.select(F.inline(pairs)).filter(F.col("natural_id").isNotNull())
+    return mentioned.groupBy("dimension", "natural_id").agg(F.count(F.lit(1)).alias("events"))
+
+
+def resolve_keys(keys: DataFrame, tables: dict[str, DataFrame], keys_small: bool) -> DataFrame:
+    """``dimension``, ``natural_id``, ``events``, ``surrogate_key`` of the ``batch_keys`` that are known.
+
+    ``tables`` maps dimensions to (natural key, surrogate key) rows, in several versions maybe. All
+    dimensions are one side of one join: the batch's keys are shuffled once, whatever the number of
+    dimensions, and not again for the join. Small key sets are broadcast first, so that only members
+    the batch mentions are shuffled.
+    """
+    known = None
+    for name, table in tables.items():
+        natural, key = table.columns
+        part = table.select(
+            F.lit(name).alias("dimension"),
+            F.col(natural).cast("string").alias("natural_id"),
+            F.col(key).alias("surrogate_key"),
+        )
+        known = part if known is None else known.unionByName(part)
+    if keys_small:
+        wanted = F.broadcast(keys.select("dimension", "natural_id"))
+        known = known.join(wanted, ["dimension", "natural_id"], "left_semi")
+    # the versions of a member have one key
+    once = known.groupBy("dimension", "natural_id").agg(F.max("surrogate_key").alias("surrogate_key"))
+    return keys.join(once, ["dimension", "natural_id"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,11 +11,13 @@ from pyspark.sql import types as T
 from starbrook.functions import scalars as S
 from starbrook.operators.facts import absent_facts, touched_days
 from starbrook.operators.lookup import fits_broadcast
+from starbrook.schemas import INSTANT, LONG, STAR_TABLES, TEXT, columns
 from starbrook.sources import files
 from starbrook.sources.warehouse import BATCH, FACT, Warehouse, day_folder, newest_versions
 
 RETENTION_DAYS = 30
 ARCHIVE = "archive"
+FOOTPRINT = "footprints"
 
 
 def cutoff(as_of: Column, days: int = RETENTION_DAYS) -> Column:
@@ -193,6 +197,50 @@ def table_footprint(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+FOOTPRINTS = columns(taken_at=INSTANT, table_name=TEXT, files=LONG, bytes=LONG, rows=LONG)
+
+
+def record_footprint(warehouse: Warehouse, at: datetime) -> None:
+    """Appends the sizes of all star tables to their history, under the time given. Recorded again for
+    the same time, they replace what was there."""
+    spark = warehouse.spark
+    present = [t for t in STAR_TABLES if files.exists(spark, warehouse.path(t))]
+    absent = [(t, 0, 0, 0) for t in STAR_TABLES if t not in present]
+    sizes = spark.createDataFrame(absent, columns(table_name=TEXT, files=LONG, bytes=LONG, rows=LONG))
+    if present:
+        sizes = sizes.unionByName(table_footprint({t: warehouse.stored(t) for t in present}))
+    micros = round(at.timestamp() * 1_000_000)
+    taken = F.timestamp_micros(F.lit(micros)).alias("taken_at")
+    one = sizes.select(taken, *(F.col(f.name).cast(f.dataType) for f in FOOTPRINTS.fields[1:]))
+    one.coalesce(1).write.mode("overwrite").parquet(f"{warehouse.root}/{FOOTPRINT}/taken={micros}")
+
+
+def footprints(warehouse: Warehouse) -> DataFrame:
+    """The history of sizes; a table has one row for each time they were recorded."""
+    spark, path = warehouse.spark, f"{warehouse.root}/{FOOTPRINT}"
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], FOOTPRINTS)
+    return spark.read.schema(FOOTPRINTS).parquet(path)
+
+
+def footprint_as_of(history: DataFrame, at: Column) -> DataFrame:
+    """The newest sizes of each table that were recorded up to ``at``."""
+    sizes = [f.name for f in FOOTPRINTS.fields if f.name != "table_name"]
+    newest = history.filter(F.col("taken_at") <= at).groupBy("table_name").agg(F.max(F.struct(*sizes)).alias("s"))
+    return newest.select("table_name", *(f"s.{c}" for c in sizes))
+
+
+def storage_growth(history: DataFrame, at: Column, since: Column) -> DataFrame:
+    """Each table as of ``at`` beside itself as of ``since``; the ratio of bytes is null without a size then
+    or with none."""
+    now = footprint_as_of(history, at).drop("taken_at")
+    then = footprint_as_of(history, since).select(
+        "table_name", F.col("bytes").alias("then_bytes"), F.col("rows").alias("then_rows")
+    )
+    ratio = F.when(F.col("then_bytes") > 0, F.col("bytes") / F.col("then_bytes"))
+    return now.join(then, "table_name", "left").withColumn("ratio", ratio)
+
+
 def archival_report(candidates: DataFrame, footprint: DataFrame) -> DataFrame:
     """Candidates and sizes as one table of (section, name, metric, value)."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from starbrook.operators import alerts, feed, quality, retention
 from starbrook.operators.dimensions import DIMENSIONS
 from starbrook.operators.facts import prepare_events
 from starbrook.operators.locate import LOCATION_COLUMNS, locate
-from starbrook.operators.lookup import fits_broadcast, known_members
+from starbrook.operators.lookup import batch_keys, fits_broadcast, resolve_keys
 from starbrook.plans import reports, shaping
 from starbrook.schemas import EVENT_SCHEMA, FACT_REFERENCES, STAR_TABLES
 from starbrook.session import scratch_path, use_utc
@@ -39,6 +40,7 @@ JOBS_AS_OF = "2024-01-31 00:00:00"
 JOBS_WINDOW_MINUTES = 1440
 EXPECTED_MINIMUM = 8
 EVENT_LIMIT_MILLIS = 60_000
+LOADED_AT = datetime(2024, 2, 8, tzinfo=timezone.utc)
 
 _stars: dict[tuple[str, str, str], Warehouse] = {}
 
@@ -59,12 +61,14 @@ def _load_once(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _load_slices(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Three deliveries; the repeated purchases of one arrive with the next."""
+    """Three deliveries, whose sizes are recorded as if they came on days of their own; the repeated
+    purchases of one arrive with the next."""
     warehouse = _new_warehouse(spark, "slices")
     ingest = Ingest(warehouse, shaping.ip_ranges(spark, sf_dir))
     raw = shaping.raw_events(spark, sf_dir)
     for number in range(shaping.LAST_SLICE + 1):
         ingest.load(_wire(raw.filter(F.col("slice") == number)), number)
+        retention.record_footprint(warehouse, LOADED_AT + number * timedelta(days=1))
     return warehouse
 
 
@@ -242,22 +246,9 @@ def batch_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = warehouse.snapshot(upto=warehouse.attempt_of(LOADED, shaping.LAST_SLICE - 1))
     raw = shaping.raw_events(spark, sf_dir).filter(F.col("slice") == shaping.LAST_SLICE)
     prepared = prepare_events(_wire(raw), shaping.ip_ranges(spark, sf_dir))
-    parts = []
-    for d in DIMENSIONS:
-        ids = prepared.select(F.col(d.event_column).alias(d.natural)).dropna().distinct()
-        table = warehouse.rows(d.table, before)
-        known = known_members(ids, table, d.natural, fits_broadcast(ids))
-        parts.append(
-            known.select(
-                F.lit(d.table).alias("dimension"),
-                F.col(d.natural).alias("natural_id"),
-                F.col(d.key).alias("surrogate_key"),
-            ).distinct()
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    keys = batch_keys(prepared, {d.table: d.event_column for d in DIMENSIONS})
+    tables = {d.table: warehouse.rows(d.table, before).select(d.natural, d.key) for d in DIMENSIONS}
+    return resolve_keys(keys, tables, fits_broadcast(keys))
 
 
 # reports
@@ -479,6 +470,25 @@ def table_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retention.table_footprint({t: warehouse.stored(t) for t in warehouse.tables()})
 
 
+def storage_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after the last of three deliveries beside the first, and whether the bytes recorded are
+    those of its files as listed, and grew by more than the standing rule allows."""
+    warehouse = star(spark, sf_dir, "slices")
+    first, last = LOADED_AT, LOADED_AT + shaping.LAST_SLICE * timedelta(days=1)
+    times = [F.timestamp_seconds(F.lit(int(t.timestamp()))) for t in (last, first)]
+    found = retention.storage_growth(retention.footprints(warehouse), *times).filter(F.col("table_name") == FACT)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true"
+    ).load(warehouse.path(FACT)).agg(F.sum("length").alias("listed"))
+    return found.crossJoin(listed).select(  # one row each
+        "table_name",
+        "then_rows",
+        "rows",
+        (F.col("bytes") == F.col("listed")).alias("as_listed"),
+        (F.col("ratio") > 1.5).alias("unusual"),
+    )
+
+
 def archival_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = archival_candidates(spark, sf_dir)
     return retention.archival_report(found, table_footprint(spark, sf_dir))
@@ -518,18 +528,19 @@ def _alerts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         },
     ]
 
-    def payload(df: DataFrame) -> DataFrame:
-        size = F.sum(F.octet_length("current_url")).alias("bytes")
-        return df.agg(size).select(F.lit(FACT).alias("table_name"), "bytes")
-
-    half = fact.filter(F.col("date_id") <= 20240115)
-    checks = [
-        ("table_count", FACT, lambda: alerts.count_and_freshness(fact, FACT)),
-        ("table_count", "raw_events", lambda: alerts.count_and_freshness(raw, "raw_events", "ts")),
-        ("data_freshness", "arrivals", lambda: alerts.count_and_freshness(raw, "arrivals", "arrived")),
-        ("data_quality", FACT, lambda: alerts.duplicate_metric(fact, FACT)),
-        ("data_quality", "raw_events", lambda: alerts.duplicate_metric(raw, "raw_events", "id")),
-        ("storage_check", FACT, lambda: alerts.storage_metric(payload(fact), payload(half), FACT)),
+    def storage() -> DataFrame:
+        """The fact as last recorded, beside its size after the first delivery."""
+        history = retention.footprints(star(spark, sf_dir, "slices"))
+        now, then = (retention.footprint_as_of(history, t) for t in (as_of, _as_of(str(LOADED_AT)[:19])))
+        return alerts.storage_metric(now, then, FACT)
+
+    tables = {
+        FACT: (fact, [alerts.row_count(), alerts.freshness("time_stamp"), alerts.surplus("fact_id")]),
+        "raw_events": (raw, [alerts.row_count(), alerts.freshness("ts"), alerts.surplus("id")]),
+        "arrivals": (raw, [alerts.freshness("arrived")]),
+    }
+    derived = [
+        ("storage_check", FACT, storage),
         (
             "dag_failure",
             "run_log",
@@ -537,7 +548,7 @@ def _alerts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         ),
     ]
     rules = alerts.rules_frame(spark, [*alerts.ALERT_RULES, *feed_rules])
-    metrics, failures = alerts.measure(spark, checks)
+    metrics, failures = alerts.measure(spark, tables, derived)
     return alerts.evaluate_rules(rules, [metrics], as_of), alerts.skipped_rules(rules, failures)
 
 
@@ -729,6 +740,7 @@ def queries() -> dict[str, Query]:
         "new_checkpoint": _replayed(_by_new_checkpoint),
         "repeat_with_fewer_days": _replayed(_with_fewer_days),
         "table_footprint": table_footprint,
+        "storage_growth": storage_growth,
         "archival_report": archival_report,
         "alerts": alert_list,
         "alert_summary": alert_summary,

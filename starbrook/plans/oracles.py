@@ -202,11 +202,12 @@ def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _all_keys(where: str = "") -> str:
+def _all_keys(where: str = "", more: str = "") -> str:
     return _union(
         [
             f"SELECT '{table}' AS dimension, {natural} AS natural_id, {key} AS surrogate_key "
-            f"FROM {table} {where.format(natural=natural, event=event)}"
+            + more.format(natural=f"{table}.{natural}", event=event)
+            + f" FROM {table} {where.format(natural=natural, event=event)}"
             for table, (natural, key, event) in _DIMENSION_KEYS.items()
         ]
     )
@@ -332,8 +333,7 @@ alerts AS (
   UNION ALL SELECT 'low_data_quality', 'Data quality check found issues', 'MEDIUM', 3, 1
     FROM fact HAVING count(*) - count(DISTINCT fact_id) > 0
   UNION ALL SELECT 'high_storage_usage', 'Database storage is growing unusually', 'LOW', 4, 2
-    FROM fact HAVING sum(length(current_url)) / sum(CASE WHEN date_id <= 20240115
-      THEN length(current_url) END) > 1.5
+    FROM fact HAVING count(*) / count(CASE WHEN dayofmonth(time_stamp) <= 10 THEN 1 END) > 1.5
   UNION ALL SELECT 'dag_failure_detected', 'Failed DAGs detected in the last {JOBS_WINDOW_MINUTES} mins: '
     || string_agg(job_id, ', ' ORDER BY job_id), 'CRITICAL', 1, 3 FROM jobs HAVING count(*) > 0
   UNION ALL SELECT 'data_stagnation',
@@ -404,7 +404,8 @@ SELECT *, make_timestamp(event_millis * 1000) AS event_time,
         "batch_key_lookup": _SLICES
         + _all_keys(
             f"WHERE {{natural}} IN (SELECT {{event}} FROM timed WHERE batch = {LAST_SLICE}) AND "
-            f"{{natural}} IN (SELECT {{event}} FROM timed WHERE batch < {LAST_SLICE})"
+            f"{{natural}} IN (SELECT {{event}} FROM timed WHERE batch < {LAST_SLICE})",
+            f", (SELECT count(*) FROM timed t WHERE t.batch = {LAST_SLICE} AND t.{{event}} = {{natural}}) AS events",
         ),
         "stream_ingest_suppressed": _SLICES + facts,
         "suppressed_repeats": _SLICES
@@ -484,6 +485,10 @@ FROM fact LEFT JOIN dim_customer USING (customer_key)""",
             + """SELECT fact_id, customer_key, customer_id, email_address, date_id
 FROM fact LEFT JOIN dim_customer USING (customer_key)""",
         ),
+        "storage_growth": _SLICES
+        + """SELECT 'fact_product_views' AS table_name, count(CASE WHEN batch = 0 THEN 1 END) AS then_rows,
+  count(*) AS rows, true AS as_listed, count(*) / count(CASE WHEN batch = 0 THEN 1 END) > 1.5 AS unusual
+FROM fact""",
         "alerts": _ONCE + _ALERTS + " SELECT * FROM alerts",
         "alert_summary": _ONCE
         + _ALERTS

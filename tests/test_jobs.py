@@ -3,16 +3,17 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from starbrook.operators import alerts, feed, quality
-from starbrook.operators.retention import analyze
+from starbrook.operators import alerts, feed, quality, retention
+from starbrook.operators.retention import FOOTPRINTS, analyze
 from starbrook.plans import reports
 from starbrook.schemas import FACT_REFERENCES, STAR_TABLES
 from starbrook.sources import jdbc
 from starbrook.sources.events import event_source, kafka_options
-from starbrook.sources.warehouse import FACT, table_ddl
+from starbrook.sources.warehouse import FACT, Warehouse, table_ddl
 from starbrook.streaming import delivery
 from starbrook.streaming.mirror import start_mirror
 from starbrook.streaming.suppress import without_repeats
@@ -346,16 +347,71 @@ def test_ties_are_ranked_by_name(spark):
 
 
 def test_a_failing_metric_costs_only_its_rules(spark):
-    df, missing = fact(spark), lambda: spark.table("no_such_table")
-    checks = [
-        ("table_count", FACT, lambda: alerts.count_and_freshness(df.limit(0), FACT)),
-        ("data_quality", FACT, lambda: alerts.duplicate_metric(missing(), FACT)),
+    df = fact(spark)
+    tables = {FACT: (df.limit(0), [alerts.row_count(), alerts.surplus("no_such_column")])}
+    derived = [
         ("dag_failure", "run_log", lambda: alerts.failed_job_metric(df, at("2024-01-01 12:00:00"))),
+        ("storage_check", FACT, lambda: alerts.storage_metric(*[spark.table("no_such_table")] * 2, FACT)),
     ]
-    metrics, failures = alerts.measure(spark, checks)
+    metrics, failures = alerts.measure(spark, tables, derived)
     rules = alerts.rules_frame(spark)
     assert rows(alerts.evaluate_rules(rules, [metrics], at("2024-01-01 00:00:00")), "name") == [("fact_table_empty",)]
-    assert rows(alerts.skipped_rules(rules, failures), "name") == [("dag_failure_detected",), ("low_data_quality",)]
+    skipped = ["dag_failure_detected", "high_storage_usage", "low_data_quality"]
+    assert rows(alerts.skipped_rules(rules, failures), "name") == [(n,) for n in skipped]
+
+
+def test_an_error_while_running_is_raised(spark):
+    broken = fact(spark, "2024-01-01 10:00:00").withColumn("time_stamp", F.raise_error(F.lit("lost")).cast("timestamp"))
+    with pytest.raises(PySparkException, match="lost"):
+        alerts.measure(spark, {FACT: (broken, [alerts.row_count(), alerts.freshness("time_stamp")])})
+
+
+def test_all_metrics_of_a_table_in_one_scan(spark, monkeypatch):
+    df = fact(spark, "2024-01-01 10:00:00").unionByName(fact(spark, "2024-01-01 11:00:00"))
+    df = df.unionByName(df)
+    measures = [alerts.row_count(), alerts.freshness("time_stamp"), alerts.surplus("fact_id")]
+    runs, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda frame: runs.append(frame) or collect(frame))
+    metrics, failures = alerts.measure(spark, {FACT: (df, measures)})
+    monkeypatch.undo()
+    assert len(runs) == 1 and failures.count() == 0
+    found = {r.check_type: (r.value, str(r.latest)) for r in metrics.collect()}
+    n = df.count()
+    assert found["table_count"] == (n, "None")
+    assert found["data_freshness"][1].startswith("2024-01-01 11:00")
+    assert found["data_quality"][0] == n - df.select("fact_id").distinct().count()
+
+
+# footprints
+
+
+def test_growth_against_an_earlier_footprint(spark):
+    when = lambda day: dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc)
+    taken = [(when(1), "a", 1, 100, 10), (when(3), "a", 2, 300, 30), (when(9), "a", 9, 900, 90), (when(3), "b", 1, 5, 1)]
+    history = spark.createDataFrame(taken, FOOTPRINTS)
+    found = retention.storage_growth(history, at("2024-01-05 00:00:00"), at("2024-01-02 00:00:00"))
+    # the newest up to each time; a table without an earlier size has no ratio
+    assert sorted(map(tuple, found.select("table_name", "bytes", "then_bytes", "ratio").collect())) == [
+        ("a", 300, 100, 3.0),
+        ("b", 5, None, None),
+    ]
+    early = retention.storage_growth(history, at("2023-12-01 00:00:00"), at("2023-11-01 00:00:00"))
+    assert early.count() == 0
+
+
+def test_footprints_are_those_of_the_files(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    assert retention.footprints(house).count() == 0
+    spark.range(10).selectExpr("id store_key", "string(id) store_id", "string(id) store_name").repartition(3).write.parquet(
+        house.batch_path("dim_store", 0)
+    )
+    day = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    for _ in range(2):  # recorded again, it replaces what was there
+        retention.record_footprint(house, day)
+    kept = {r.table_name: r for r in retention.footprints(house).collect()}
+    files = list((tmp_path / "house" / "dim_store").rglob("*.parquet"))
+    assert (kept["dim_store"].files, kept["dim_store"].bytes) == (len(files), sum(f.stat().st_size for f in files))
+    assert kept["dim_store"].rows == 10 and kept[FACT].bytes == 0 and len(kept) == len(STAR_TABLES)
 
 
 def test_the_text_names_the_window(spark):

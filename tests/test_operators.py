@@ -120,6 +120,45 @@ def test_known_and_missing_members(spark, small):
     assert rows(L.missing_members(members, known, "id", small)) == [("a",), ("c",)]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_keys_of_all_dimensions_by_one_join(spark, small):
+    events = spark.createDataFrame(
+        [("p1", "s1", "c1"), ("p1", None, "c2"), ("p9", "s2", "p1"), (None, None, None)] * 5,
+        "product string, store string, customer string",
+    )
+    names = {"dim_product": "product", "dim_store": "store", "dim_customer": "customer"}
+    tables = {
+        "dim_product": spark.createDataFrame([("p1", 1), ("p2", 2)], "id string, k bigint"),
+        "dim_store": spark.createDataFrame([("s1", 7), ("s3", 8)], "id string, k bigint"),
+        # two versions of one member, and an id that another dimension has, too
+        "dim_customer": spark.createDataFrame([("c1", 4), ("c1", 4), ("p1", 5)], "id string, k bigint"),
+    }
+    keys = L.batch_keys(events, names)
+    assert keys.agg(F.sum("events")).first()[0] == 40
+    found = L.resolve_keys(keys, tables, small)
+    assert rows(found) == [
+        ("dim_customer", "c1", 5, 4),
+        ("dim_customer", "p1", 5, 5),
+        ("dim_product", "p1", 10, 1),
+        ("dim_store", "s1", 5, 7),
+    ]
+
+
+def test_keys_are_shuffled_once_whatever_the_number_of_dimensions(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in (1, 2, 5):
+            columns = [f"c{i}" for i in range(n)]
+            events = spark.createDataFrame([("a",) * n], ", ".join(f"{c} string" for c in columns))
+            tables = {c: spark.createDataFrame([("a", 1)], "id string, k bigint") for c in columns}
+            found = L.resolve_keys(L.batch_keys(events, {c: c for c in columns}), tables, False)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2  # the batch's keys, and all members
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 # locations
 
 
