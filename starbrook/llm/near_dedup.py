@@ -17,9 +17,10 @@ their weighted Jaccard similarity is 0.8 or more, and a class is a connected com
 With 20 bands of 4 components a link of similarity 0.8 shares no band with probability 2.6e-5.
 
 Defined results: a null text counts as empty; empty texts are equal to each other and similar to
-nothing else. A text of fewer than five words is one shingle. The document of the smallest id stands
-for its class; a null id stands for a class only if there is no other. An empty table gives an empty
-result. Columns beyond ``doc_id`` and ``text`` are ignored by ``near_groups`` and kept by
+nothing else. A text of fewer than five words is one shingle. One document of a class stays: that of
+the smallest id, a null id being the largest, and among equal ids that of the smallest hash of its
+text. So near-copies that share an id, or that have none, do not all stay; rows that repeat both id
+and text are one document, and stay or go together. An empty table gives an empty result. Columns beyond ``doc_id`` and ``text`` are ignored by ``near_groups`` and kept by
 ``drop_copies``.
 """
 
@@ -244,10 +245,18 @@ def _links_of_rest(members: DataFrame, shingles: DataFrame, known: DataFrame) ->
     return rows.groupBy("bucket", "chunk", "block").applyInPandas(_search_rest, EDGES)
 
 
+def _precedence() -> Column:
+    """A total order of documents; the least of a class stays."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+
+
 def near_classes(docs: DataFrame, sketched: DataFrame) -> DataFrame:
-    """``node``, ``class_id``, ``class_size`` of the classes with more than one document."""
+    """``node``, ``keeper``, ``class_size`` of the classes with more than one document."""
     nodes = sketched.groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("first"),
+        F.min(_precedence()).alias("keeper"),
+        F.count(F.lit(1)).alias("copies"),
+        F.first("bands").alias("bands"),
     )
     nodes = cut_lineage(nodes)
     members = cut_lineage(_buckets(nodes))
@@ -266,23 +275,24 @@ def near_classes(docs: DataFrame, sketched: DataFrame) -> DataFrame:
         known = components(links.unionByName(more))
     joined = nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = joined.groupBy("component").agg(
-        F.min("first").alias("class_id"), F.sum("copies").alias("class_size")
+        F.min("keeper").alias("keeper"), F.sum("copies").alias("class_size")
     )
     shared = classes.filter("class_size > 1")
-    return joined.select("node", "component").join(shared, "component").select("node", "class_id", "class_size")
+    return joined.select("node", "component").join(shared, "component").select("node", "keeper", "class_size")
 
 
 def _grouped_rows(docs: DataFrame) -> DataFrame:
     sketched = cut_lineage(sketch(docs))
-    classes = near_classes(docs, sketched).select("node", F.struct("class_id", "class_size").alias("class"))
+    classes = near_classes(docs, sketched).select("node", F.struct("keeper", "class_size").alias("class"))
     found = sketched.select("doc_id", "text_hash", "node").join(classes, "node", "left")
-    first = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class.class_id"))
+    alone = F.col("class").isNull()
+    first = F.when(alone, F.col("doc_id")).otherwise(F.col("class.keeper.doc_id"))
     return found.select(
         "doc_id",
         "text_hash",
         first.alias("class_id"),
         F.coalesce("class.class_size", F.lit(1).cast("bigint")).alias("class_size"),
-        F.col("doc_id").eqNullSafe(first).alias("kept"),
+        (alone | _precedence().eqNullSafe(F.col("class.keeper"))).alias("kept"),
     )
 
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from starbrook.llm import near_dedup as N
 from starbrook.llm import sketch as S
@@ -126,3 +127,16 @@ def test_components(spark):
     found = components(spark.createDataFrame(pairs, "u bigint, v bigint")).collect()
     assert {r.node: r.component for r in found} == {x: root(x) for x in linked} and len(found) == len(linked)
     assert components(spark.createDataFrame([], "u bigint, v bigint")).collect() == []
+
+
+@pytest.mark.parametrize("ids", [(None, None, None), (4, 4, 4), (None, 4, 4), (None, 2, None)])
+def test_one_of_a_class_stays_whatever_its_ids(spark, ids):
+    body = " ".join(f"word{i}" for i in range(200))
+    texts = [body, body + " more", "another " + body]
+    docs = spark.createDataFrame([*zip(ids, texts, strict=True), (9, "something else")], "doc_id bigint, text string")
+    kept = [tuple(r) for r in N.drop_copies(docs).collect()]
+    assert len(kept) == 2 and (9, "something else") in kept
+    groups = N.near_groups(docs).filter("class_size = 3").collect()
+    least = min((i for i in ids if i is not None), default=None)
+    assert [r.kept for r in groups].count(True) == 1 and {r.class_id for r in groups} == {least}
+    assert next(r.doc_id for r in groups if r.kept) == least
