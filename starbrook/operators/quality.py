@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +34,20 @@ def column_nulls(df: DataFrame, table: str) -> DataFrame:
 def completeness(tables: dict[str, DataFrame]) -> DataFrame:
     """Share of non-null cells per table, graded ok (from 90), warn (from 70) or fail."""
     nulls = _union([column_nulls(df, name) for name, df in tables.items()])
-    per_table = nulls.groupBy("table_name").agg(
-        F.max("total_rows").alias("total_rows"),
-        F.count(F.lit(1)).alias("columns"),
-        F.sum("null_count").alias("null_cells"),
+    return graded(
+        nulls.groupBy("table_name").agg(
+            F.max("total_rows").alias("total_rows"),
+            F.count(F.lit(1)).alias("columns"),
+            F.sum("null_count").alias("null_cells"),
+        )
     )
+
+
+def graded(counts: DataFrame) -> DataFrame:
+    """Adds the share of non-null cells and its grade to ``total_rows``, ``columns``, ``null_cells``."""
     cells = F.greatest(F.col("total_rows") * F.col("columns"), F.lit(1))
     pct = F.bround((1 - F.col("null_cells") / cells) * 100, 2)
-    return per_table.withColumn("completeness_pct", pct).withColumn(
+    return counts.withColumn("completeness_pct", pct).withColumn(
         "grade",
         F.when(F.col("completeness_pct") >= 90, "ok")
         .when(F.col("completeness_pct") >= 70, "warn")
@@ -106,6 +114,10 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, check:
     ).select(F.lit(check).alias("check_name"), "*")
 
 
+def _named(reference: str, key: Column) -> tuple[Column, Column]:
+    return F.lit(reference).alias("reference"), key.cast("bigint").alias("key")
+
+
 def reference_counts(tables: dict[str, DataFrame], fact_table: str) -> DataFrame:
     """For every reference of the fact, and its own primary key: rows, rows and keys without a
     member, and rows without a key.
@@ -113,25 +125,29 @@ def reference_counts(tables: dict[str, DataFrame], fact_table: str) -> DataFrame
     One pass over the fact: all references of a row are counted by (reference, key) before the
     shuffle, so a hot key is one row per task, and the counts meet all dimensions in one join.
     """
-    fact = tables[fact_table]
-    spark, primary = fact.sparkSession, STAR_TABLES[fact_table].fieldNames()[0]
+    return judge_usage(reference_usage(tables[fact_table], fact_table), tables, fact_table)
 
-    def named(reference: str, key: Column):
-        return F.lit(reference).alias("reference"), key.cast("bigint").alias("key")
 
-    # of the primary key only its presence counts
+def reference_usage(fact: DataFrame, fact_table: str) -> DataFrame:
+    """Rows by reference and key; of the primary key only its presence counts, as key 0."""
+    primary = STAR_TABLES[fact_table].fieldNames()[0]
     present = F.when(F.col(primary).isNotNull(), F.lit(0))
-    keys = [F.struct(*named(k, F.col(k))) for k in FACT_REFERENCES]
-    keys.append(F.struct(*named(primary, present)))
-    usage = (
+    keys = [F.struct(*_named(k, F.col(k))) for k in FACT_REFERENCES]
+    keys.append(F.struct(*_named(primary, present)))
+    return (
         fact.select(F.inline(F.array(*keys)))
         .groupBy("reference", "key")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+
+
+def judge_usage(usage: DataFrame, tables: dict[str, DataFrame], fact_table: str) -> DataFrame:
+    """Compares ``reference_usage`` with the keys of the dimensions in ``tables``."""
+    spark, primary = usage.sparkSession, STAR_TABLES[fact_table].fieldNames()[0]
     members = [
-        tables[dim].select(*named(k, F.col(dim_key))) for k, (dim, dim_key) in FACT_REFERENCES.items()
+        tables[dim].select(*_named(k, F.col(dim_key))) for k, (dim, dim_key) in FACT_REFERENCES.items()
     ]
-    members.append(spark.range(1).select(*named(primary, F.col("id"))))
+    members.append(spark.range(1).select(*_named(primary, F.col("id"))))
     known = _union(members).withColumn("known", F.lit(True))
     has_key = F.col("key").isNotNull()
     missing = has_key & F.col("known").isNull()
@@ -194,7 +210,14 @@ def error_rate(
                     F.count(F.when(F.col(key).isNull(), 1)).alias("error_rows"),
                 ).select(F.lit(name).alias("table_name"), F.lit("null_key").alias("check_name"), "*")
             )
-    references = reference_counts(tables, fact_table).select(
+    return error_shares(_union(null_keys), reference_counts(tables, fact_table), expected_min, fact_table)
+
+
+def error_shares(
+    null_keys: DataFrame, references: DataFrame, expected_min: int, fact_table: str
+) -> DataFrame:
+    """The rows of ``error_rate`` from null keys by table and the counts of the fact's references."""
+    references = references.select(
         F.lit(fact_table).alias("table_name"),
         F.coalesce(_check_names("missing_"), F.lit("null_key")).alias("check_name"),
         "total_rows",
@@ -202,12 +225,16 @@ def error_rate(
     )
     share = F.bround(F.col("error_rows") / F.greatest("total_rows", F.lit(1)) * 100, 2)
     return (
-        _union([*null_keys, references])
+        null_keys.unionByName(references)
         .withColumn("error_pct", share)
         .withColumn("meets_minimum", F.col("total_rows") >= expected_min)
     )
 
 
+# of a statement that cannot be analysed, and of one whose job fails
+STATEMENT_ERRORS = (PySparkException, Py4JJavaError)
+
+
 class QualityError(ValueError):
     """At least one expectation was not met."""
 
@@ -220,20 +247,35 @@ def run_expectations(
 ) -> DataFrame:
     """Compares the first value of each statement with what is expected.
 
-    All checks run before anything is raised; one that errors, or returns no row, has failed.
-    Only one value per check reaches the driver.
+    Statements are analysed one by one and those that can be run are run side by side, as scalar
+    subqueries of one query; only if that fails is each run for itself, to find which ones do. All
+    checks run before anything is raised; one that errors, or returns no row, has failed. Only one
+    value per check reaches the driver.
     """
-    results = []
-    for check in checks:
-        sql, expected = check["sql"], check.get("expected_result")
-        name = check.get("name", sql)
+    problems, valid = {}, {}
+    for place, check in enumerate(checks):
         try:
-            row = spark.sql(sql).first()
-            actual = row[0] if row else None
-            status = "passed" if row and actual == expected else "failed"
-            error = None
-        except Exception as problem:
+            valid[place] = _first_value(spark.sql(check["sql"]))
+        except STATEMENT_ERRORS as problem:
+            problems[place] = problem
+    found = {}
+    try:
+        found = _side_by_side(spark, valid)
+    except STATEMENT_ERRORS:
+        for place, frame in valid.items():
+            try:
+                found |= _side_by_side(spark, {place: frame})
+            except STATEMENT_ERRORS as problem:
+                problems[place] = problem
+    results = []
+    for place, check in enumerate(checks):
+        name, expected = check.get("name", check["sql"]), check.get("expected_result")
+        if place in problems:
+            problem = getattr(problems[place], "java_exception", problems[place])
             actual, status, error = None, "error", str(problem).splitlines()[0]
+        else:
+            count, actual = found[place]
+            status, error = "passed" if count and actual == expected else "failed", None
         shown = [None if v is None else str(v) for v in (expected, actual)]
         results.append((name, *shown, status, error))
     bad = [r for r in results if r[3] != "passed"]
@@ -243,6 +285,21 @@ def run_expectations(
     return spark.createDataFrame(results, EXPECTATION_RESULT)
 
 
+def _first_value(df: DataFrame) -> DataFrame:
+    """One row with whether there is a first row, and its first value."""
+    first = df.toDF(*(f"c{i}" for i in range(len(df.columns)))).limit(1)
+    value = F.struct(F.count(F.lit(1)).alias("n"), F.first("c0").alias("v"))
+    return first.agg(value.alias("found"))
+
+
+def _side_by_side(spark: SparkSession, frames: dict[int, DataFrame]) -> dict[int, tuple]:
+    """The single values of frames of one row, by one query."""
+    if not frames:
+        return {}
+    row = spark.range(1).select(*(f.scalar().alias(f"v{place}") for place, f in frames.items())).first()
+    return {place: tuple(row[f"v{place}"]) for place in frames}
+
+
 # The rules every star schema must meet, over the views of Warehouse.register_views().
 BUSINESS_RULES = [
     {

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbrook.functions import scalars as S
-from starbrook.operators import alerts, feed, quality, retention
+from starbrook.operators import alerts, feed, kept_quality, quality, retention
 from starbrook.operators.dimensions import DIMENSIONS
 from starbrook.operators.facts import prepare_events
 from starbrook.operators.locate import LOCATION_COLUMNS, locate
@@ -19,6 +19,7 @@ from starbrook.plans import reports, shaping
 from starbrook.schemas import EVENT_SCHEMA, FACT_REFERENCES, STAR_TABLES
 from starbrook.session import scratch_path, use_utc
 from starbrook.sources.events import event_source, parse_events, to_messages
+from starbrook.sources.ledger import FactLedger
 from starbrook.sources.warehouse import BATCH, FACT, REJECTS, RUN_LOG, Warehouse
 from starbrook.streaming.delivery import DeliveryLog, delivery_totals, read_deliveries
 from starbrook.streaming.ingest import LOADED, Ingest
@@ -40,6 +41,7 @@ JOBS_AS_OF = "2024-01-31 00:00:00"
 JOBS_WINDOW_MINUTES = 1440
 EXPECTED_MINIMUM = 8
 EVENT_LIMIT_MILLIS = 60_000
+LEDGER_BUCKETS = 8
 LOADED_AT = datetime(2024, 2, 8, tzinfo=timezone.utc)
 
 _stars: dict[tuple[str, str, str], Warehouse] = {}
@@ -72,6 +74,20 @@ def _load_slices(spark: SparkSession, sf_dir: str) -> Warehouse:
     return warehouse
 
 
+def _load_kept(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The deliveries of ``slices`` and the last once more, with counts kept and new facts found by the
+    ledger, which is opened anew for each as after a restart."""
+    warehouse = _new_warehouse(spark, "kept")
+    ranges, raw = shaping.ip_ranges(spark, sf_dir), shaping.raw_events(spark, sf_dir)
+    name = "fact_ledger_" + warehouse.root.rpartition("-")[2]
+    for number in [*range(shaping.LAST_SLICE + 1), shaping.LAST_SLICE]:
+        ledger = FactLedger(spark, name, f"{warehouse.root}/_ledger", LEDGER_BUCKETS)
+        ingest = Ingest(warehouse, ranges, ledger=ledger, keep_quality=True)
+        ingest.load(_wire(raw.filter(F.col("slice") == number)), number)
+        spark.sql(f"DROP TABLE {name}")  # known to the session alone; its files stay
+    return warehouse
+
+
 def _load_stream(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The same deliveries as message files, each picked up by a restarted streaming query."""
     warehouse = _new_warehouse(spark, "streamed")
@@ -123,6 +139,7 @@ def _listening(spark: SparkSession, path: str):
 _LOADERS = {
     "once": _load_once,
     "slices": _load_slices,
+    "kept": _load_kept,
     "stream": _load_stream,
     "suppressed": _load_suppressed,
 }
@@ -330,9 +347,25 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.schema_check({t: warehouse.as_written(t, snapshot) for t in STAR_TABLES})
 
 
-def _lagging_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def kept_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables after three deliveries and a replay, from the counts kept with them."""
+    return kept_quality.completeness(star(spark, sf_dir, "kept").quality_counts())
+
+
+def kept_completeness_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_quality.completeness_by_day(star(spark, sf_dir, "kept").quality_counts())
+
+
+def kept_error_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's counts as kept, against dimensions that know the members of the first day only."""
+    kept = star(spark, sf_dir, "kept").quality_counts()
+    found = kept_quality.error_rate(kept, _lagging_tables(spark, sf_dir, "kept"), EXPECTED_MINIMUM)
+    return found.filter((F.col("table_name") == FACT))
+
+
+def _lagging_tables(spark: SparkSession, sf_dir: str, how: str = "once") -> dict[str, DataFrame]:
     """Dimensions that stopped being maintained after the first day, so later members are orphans."""
-    tables = star(spark, sf_dir).tables()
+    tables = star(spark, sf_dir, how).tables()
     fact = tables[FACT]
     first = fact.agg(F.min("date_id").alias("d")).first()["d"]
     day = fact.filter(F.col("date_id") == first)
@@ -707,6 +740,7 @@ def queries() -> dict[str, Query]:
         "location_dimension": _table("dim_location"),
         "fact_build": _table(FACT),
         "fact_incremental_upsert": _table(FACT, "slices"),
+        "fact_ledger_upsert": _table(FACT, "kept"),
         "customer_incremental_upsert": _table("dim_customer", "slices"),
         "dimension_incremental_upsert": dimension_incremental_upsert,
         "batch_key_lookup": batch_key_lookup,
@@ -726,6 +760,9 @@ def queries() -> dict[str, Query]:
         "browser_os_views": browser_os_views,
         "browser_os_totals": browser_os_totals,
         "completeness": completeness,
+        "kept_completeness": kept_completeness,
+        "kept_completeness_by_day": kept_completeness_by_day,
+        "kept_error_rate": kept_error_rate,
         "schema_check": schema_check,
         "orphans": orphans,
         "duplicates": duplicates,

@@ -252,6 +252,18 @@ graded AS (SELECT *, CASE WHEN completeness_pct >= 90 THEN 'ok' WHEN completenes
   THEN 'warn' ELSE 'fail' END AS grade FROM shares)"""
 
 
+def _completeness_by_day() -> str:
+    filled = _table_columns()["fact"][0]
+    nulls = " + ".join(f"count(*) - count({c})" for c in filled)
+    return f"""cells AS (SELECT date_id, count(*) AS total_rows, {len(filled)} AS columns,
+    {nulls} AS null_cells FROM fact GROUP BY date_id),
+shares AS (SELECT *, CAST(round_even(
+    (1 - null_cells / greatest(total_rows * columns, 1)) * 100, 2) AS DOUBLE) AS completeness_pct
+  FROM cells)
+SELECT *, CASE WHEN completeness_pct >= 90 THEN 'ok' WHEN completeness_pct >= 70
+  THEN 'warn' ELSE 'fail' END AS grade FROM shares"""
+
+
 def _orphans() -> str:
     """References against dimensions that only know the members of the first day."""
     parts = []
@@ -399,6 +411,7 @@ SELECT *, make_timestamp(event_millis * 1000) AS event_time,
         "fact_build": _ONCE + facts,
         "fact_incremental_upsert": _SLICES + facts,
         "customer_incremental_upsert": _SLICES + customers,
+        "fact_ledger_upsert": _SLICES + facts,
         "stream_ingest": _SLICES + facts,
         "dimension_incremental_upsert": _SLICES + _all_keys(),
         "batch_key_lookup": _SLICES
@@ -452,6 +465,9 @@ FROM today JOIN dim_product USING (product_key) WHERE product_id = {_LEADER}""",
 FROM today JOIN dim_device USING (device_key)
 GROUP BY GROUPING SETS ((browser, os), (browser), (os))""",
         "completeness": _ONCE + f", {_completeness()} SELECT * FROM graded",
+        "kept_completeness": _SLICES + f", {_completeness()} SELECT * FROM graded",
+        "kept_completeness_by_day": _SLICES + f", {_completeness_by_day()}",
+        "kept_error_rate": _SLICES + f", {_error_rate()} WHERE table_name = 'fact_product_views'",
         "orphans": _ONCE + _orphans(),
         "error_rate": _ONCE + f", {_error_rate()}",
         "duplicates": _ONCE

@@ -153,4 +153,7 @@ RUN_LOG_SCHEMA = columns(
     error=TEXT,
 )
 
+# Additive counts of one batch, by table and metric; ``name`` is a column or a reference.
+QUALITY_SCHEMA = columns(table_name=TEXT, metric=TEXT, name=TEXT, key=LONG, day=WHOLE, n=LONG)
+
 REJECT_SCHEMA = columns(raw_value=TEXT, reject_reason=TEXT)

@@ -16,12 +16,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starbrook.schemas import CUSTOMER_STATE, REJECT_SCHEMA, RUN_LOG_SCHEMA, STAR_TABLES
+from starbrook.schemas import CUSTOMER_STATE, QUALITY_SCHEMA, REJECT_SCHEMA, RUN_LOG_SCHEMA, STAR_TABLES
 from starbrook.sources import files
 
 FACT = "fact_product_views"
 REJECTS = "rejects"
 RUN_LOG = "run_log"
+QUALITY = "quality_counts"
 BATCH = "batch_id"
 ASIDE, SLASH = "aside-", "+"
 
@@ -76,6 +77,8 @@ class Warehouse:
             return REJECT_SCHEMA
         if table == RUN_LOG:
             return RUN_LOG_SCHEMA
+        if table == QUALITY:
+            return QUALITY_SCHEMA
         fields = list(STAR_TABLES[table].fields)
         if table == "dim_customer":
             fields += CUSTOMER_STATE.fields
@@ -161,6 +164,17 @@ class Warehouse:
         rows = self.spark.read.parquet(self.path(table)).filter(snapshot.shows())
         return rows.drop(BATCH, *CUSTOMER_STATE.fieldNames())
 
+    def written_by(self, table: str, attempt: int) -> DataFrame:
+        """What one attempt wrote to a dimension, visible or not; only its folder is listed."""
+        path = self.batch_path(table, attempt)
+        if not files.exists(self.spark, path):
+            return self.spark.createDataFrame([], self.schema(table))
+        return self.spark.read.schema(self.schema(table)).parquet(path)
+
+    def quality_counts(self) -> DataFrame:
+        """Counts kept by ``Ingest(keep_quality=True)``, of visible batches; see ``kept_quality``."""
+        return self.rows(QUALITY, self.snapshot()).drop(BATCH)
+
     def fact(self, days: list[int | None] | None = None) -> DataFrame:
         columns = STAR_TABLES[FACT].fieldNames()
         return self.rows(FACT, self.snapshot(), days).select(*columns)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from starbrook.operators import kept_quality
 from starbrook.operators.dimensions import (
     DIMENSIONS,
     Dimension,
@@ -26,16 +27,27 @@ from starbrook.operators.locate import RANGE_BROADCAST_BYTES, ranges_fit
 from starbrook.operators.lookup import (
     BROADCAST_BYTES,
     ROW_OVERHEAD,
+    fits_broadcast,
     known_members,
     missing_members,
     size_in_bytes,
 )
 from starbrook.operators.numbering import number_rows
 from starbrook.operators.retention import append_archive
+from starbrook.schemas import STAR_TABLES
 from starbrook.session import use_utc
 from starbrook.sources import files
 from starbrook.sources.events import parse_events
-from starbrook.sources.warehouse import FACT, REJECTS, Snapshot, Warehouse, newest_versions
+from starbrook.sources.ledger import FactLedger
+from starbrook.sources.warehouse import (
+    BATCH,
+    FACT,
+    QUALITY,
+    REJECTS,
+    Snapshot,
+    Warehouse,
+    newest_versions,
+)
 from starbrook.streaming.monitor import feed_of
 from starbrook.streaming.suppress import without_repeats
 
@@ -54,7 +66,9 @@ class Staged:
 class Ingest:
     """Feeds one warehouse, as its only writer.
 
-    ``archive_before`` sends facts of pruned days to the archive.
+    ``archive_before`` sends facts of pruned days to the archive. With ``ledger`` new facts are found by
+    its buckets, so that no history is shuffled; it must have been there from the first batch on.
+    ``keep_quality`` keeps the counts that ``kept_quality`` reads, also from the first batch on.
     """
 
     def __init__(
@@ -63,12 +77,15 @@ class Ingest:
         ip_ranges: DataFrame,
         archive_before: Column | None = None,
         range_limit: int = RANGE_BROADCAST_BYTES,
+        ledger: FactLedger | None = None,
+        keep_quality: bool = False,
     ):
         self.warehouse = warehouse
         self.spark: SparkSession = use_utc(warehouse.spark)
         self.ranges = ip_ranges
         self.ranges_small = ranges_fit(ip_ranges, range_limit)
         self.archive_before = archive_before
+        self.ledger, self.keep_quality = ledger, keep_quality
         self._newest: Snapshot | None = None
         self._highest: dict[str, int] = {}
         warehouse.restore_interrupted()
@@ -187,10 +204,13 @@ class Ingest:
         lookups = {d.table: (r[0], r[1]) for d, r in zip(DIMENSIONS, results)}
 
         facts = build_facts(prepared, lookups)
+        inserted = self._insert(facts, attempt, base)
+        if self.ledger is not None or self.keep_quality:
+            self._keep(prepared, attempt, base)
         return {
             "input_rows": staged.count,
             "rejected_rows": rejected,
-            "fact_rows": self._insert(facts, attempt, base),
+            "fact_rows": inserted,
             "high_water": {d.table: r[2] for d, r in zip(DIMENSIONS, results)},
         }
 
@@ -243,14 +263,34 @@ class Ingest:
             small = staged.count * (FACT_ID_BYTES + ROW_OVERHEAD) <= BROADCAST_BYTES
         if not base.empty:
             days, spans = touched_days(facts)
-            existing = self.warehouse.rows(FACT, base, days).filter(spans)
-            facts = absent_facts(facts, existing, small)
+            if self.ledger is not None:
+                facts = self.ledger.absent(facts, base.shows(), days)
+            else:
+                existing = self.warehouse.rows(FACT, base, days).filter(spans)
+                facts = absent_facts(facts, existing, small)
         if self.archive_before is not None:
             old = F.coalesce(F.col("time_stamp") < self.archive_before, F.lit(False))
             append_archive(self.warehouse, facts.filter(old))
             facts = facts.filter(~old)
         return self.warehouse.write_facts(facts, attempt)
 
+    def _keep(self, prepared: DataFrame, attempt: int, base: Snapshot) -> None:
+        """Records the ids and the counts of what this attempt wrote, from its own folders."""
+        days = [row["date_id"] for row in prepared.select("date_id").distinct().collect()]  # calendar days
+        written = self.warehouse.stored(FACT, days).filter(F.col(BATCH) == attempt)
+        if self.ledger is not None:
+            self.ledger.append(written.select("fact_id", "date_id"), attempt)
+        if not self.keep_quality:
+            return
+        tables = {t: self.warehouse.written_by(t, attempt) for t in STAR_TABLES if t != FACT}
+        replaced = None
+        if not base.empty:
+            log, new = self.warehouse.rows("dim_customer", base), tables["dim_customer"]
+            small = fits_broadcast(new.select("customer_id"))
+            replaced = newest_versions(known_members(new, log, "customer_id", small))
+        counts = kept_quality.batch_counts(tables | {FACT: written}, replaced)
+        self.warehouse.write_batch(counts, QUALITY, attempt)
+
     # staging
 
     def _stage(self, df: DataFrame, attempt: int, name: str) -> Staged:

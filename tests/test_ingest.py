@@ -5,10 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import event, millis, rows
-from starbrook.operators import retention
+from starbrook.operators import kept_quality, quality, retention
 from starbrook.schemas import STAR_TABLES
 from starbrook.sources import files
 from starbrook.sources.events import event_source, parse_events
+from starbrook.sources.ledger import FactLedger
 from starbrook.sources.warehouse import FACT, Warehouse
 from starbrook.streaming.ingest import Ingest
 
@@ -406,3 +407,76 @@ def test_attempts_that_broke_off_never_show(ingest, warehouse, frame, monkeypatc
     ingest.load(frame(event()), 0)
     assert rows(warehouse.table("dim_customer"), "customer_id", "customer_key") == [("cookie1", 1)]
     assert warehouse.snapshot().unfinished == (0, 1) and warehouse.fact().count() == 1
+
+
+def deliveries(warehouse, ranges, frame, **options):
+    """Three batches, the second changing a customer, and the last once more by a new writer."""
+    batches = [
+        frame(event(), event(id="e2", product_id="p2", store_id=None, email_address=None)),
+        frame(event(id="e3", email_address="b@mail.test", time_stamp=millis("2024-01-06T10:00:00")), event()),
+        frame(event(id="e4", device_id="cookie2", referrer_url=None, time_stamp=None), event(id="e5", product_id="p3")),
+    ]
+    for number, batch in [*enumerate(batches), (2, batches[2])]:
+        made = {k: v() for k, v in options.items()}
+        Ingest(warehouse, ranges, **made).load(batch, number)
+
+
+def test_kept_counts_equal_a_full_scan(warehouse, ranges, frame):
+    deliveries(warehouse, ranges, frame, keep_quality=lambda: True)
+    kept, tables = warehouse.quality_counts(), warehouse.tables()
+    full = quality.completeness(tables)
+    assert rows(kept_quality.completeness(kept), *full.columns) == rows(full)
+    tables["dim_product"] = tables["dim_product"].filter("product_id <> 'p2'")
+    counted = quality.error_rate(tables, 2)
+    found = kept_quality.error_rate(kept, tables, 2)
+    dims = "table_name <> 'dim_product'"  # its members were taken away here, not by a batch
+    assert rows(found.filter(dims), *counted.columns) == rows(counted.filter(dims))
+    by_day = {r["date_id"]: r["total_rows"] for r in kept_quality.completeness_by_day(kept).collect()}
+    assert by_day == {r[0]: r[1] for r in tables[FACT].groupBy("date_id").count().collect()} and None in by_day
+    plan = kept_quality.completeness(kept)._jdf.queryExecution().executedPlan().toString()
+    assert FACT + "/" not in plan and plan.count("FileScan") == 1
+
+
+def test_kept_counts_of_a_failed_batch_do_not_count(warehouse, ranges, frame, monkeypatch):
+    ingest = Ingest(warehouse, ranges, keep_quality=True)
+    ingest.load(frame(event()), 0)
+    with monkeypatch.context() as broken:
+        broken.setattr(kept_quality, "key_counts", lambda fact: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.load(frame(event(id="e2", product_id="p2")), 1)
+    Ingest(warehouse, ranges, keep_quality=True).load(frame(event(id="e2", product_id="p2")), 1)
+    full = quality.completeness(warehouse.tables())
+    assert rows(kept_quality.completeness(warehouse.quality_counts()), *full.columns) == rows(full)
+    assert warehouse.fact().count() == 2
+
+
+def test_the_ledger_gives_the_same_facts(spark, warehouse, ranges, frame, tmp_path):
+    def ledger():
+        # as after a restart, when the catalog does not know the table
+        spark.sql("DROP TABLE IF EXISTS ids_of_facts")
+        return FactLedger(spark, "ids_of_facts", f"{tmp_path}/ledger", 4)
+
+    plain = Warehouse(spark, f"{tmp_path}/plain")
+    deliveries(plain, ranges, frame)
+    deliveries(warehouse, ranges, frame, ledger=ledger)
+    assert rows(warehouse.fact()) == rows(plain.fact())
+    opened = ledger()
+    assert rows(opened.rows(), "fact_id") == rows(plain.fact(), "fact_id")
+    assert opened.rows([20240106]).count() == 1 and opened.rows([None, 20240106]).count() == 2
+    assert opened.rows([]).count() == 0
+
+
+def test_the_ledger_moves_only_the_batch(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS ids_moved")
+    ledger = FactLedger(spark, "ids_moved", f"{tmp_path}/ledger", 8)
+    ids = spark.range(2000).selectExpr("concat('f', id) as fact_id", "20240101 + int(id % 3) as date_id")
+    ledger.append(ids.filter("fact_id < 'f5'"), 0)
+    ledger.append(ids.filter("fact_id >= 'f5' and fact_id < 'f7'"), 1)
+    new = ledger.absent(ids, F.col("batch_id") <= 1)
+    assert rows(new, "fact_id") == rows(ids.filter("fact_id >= 'f7'"), "fact_id")
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    # of an attempt that did not succeed nothing counts
+    assert ledger.absent(ids, F.col("batch_id") < 1).count() == ids.filter("fact_id >= 'f5'").count()
+    one_day = ledger.rows([20240102])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_id" in one_day

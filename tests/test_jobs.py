@@ -93,12 +93,29 @@ def test_expectations(spark):
         "broken": (None, "error"),
         "select 0": ("0", "passed"),
     }
+    failing = {"name": "at run time", "sql": "select raise_error('no')", "expected_result": 0}
+    mixed = {r["name"]: (r["actual"], r["status"]) for r in quality.run_expectations(spark, [*checks, failing]).collect()}
+    assert mixed == found | {"at run time": (None, "error")}
+    assert quality.run_expectations(spark, []).collect() == []
     quality.run_expectations(spark, checks[:1], raise_on_fail=True)
     with pytest.raises(quality.QualityError) as raised:
         quality.run_expectations(spark, checks, raise_on_fail=True)
     assert all(name in str(raised.value) for name in ("bad", "none", "broken"))
 
 
+def test_expectations_run_side_by_side(spark, monkeypatch):
+    runs = []
+    plain = quality._side_by_side
+    monkeypatch.setattr(quality, "_side_by_side", lambda s, frames: runs.append(len(frames)) or plain(s, frames))
+    checks = [
+        {"name": "two columns", "sql": "select 7 as a, 8 as a", "expected_result": 7},
+        {"name": "null", "sql": "select cast(null as int)", "expected_result": None},
+        {"name": "first", "sql": "select id from range(9) order by id desc", "expected_result": 8},
+    ]
+    assert {r["status"] for r in quality.run_expectations(spark, checks).collect()} == {"passed"}
+    assert runs == [3]
+
+
 # alerts
 
 
