@@ -13,9 +13,13 @@ moves: one that lacks more words than coverage allows cannot reach it, the words
 license must all be there, and one that cannot beat the best so far is not aligned. Whole texts are
 read, in one pass without a shuffle.
 
+Some notices differ only by words of their name. A template whose words all occur in a sibling's is not
+found where one of the words that name the sibling stands inside the aligned stretch, so "GNU Lesser
+General Public License" is not the general one; a sentence that names both yields the longer only.
+
 Defined results: a null or empty text has no license. Of several windows the best counts, then the
 first; of several licenses the best covered is ``license``, then the longer, then the first by name,
-and all are listed. Rows are scanned each for itself. An empty table gives an empty result. Columns
+and all are listed. A rights notice comes after every license. Rows are scanned each for itself. An empty table gives an empty result. Columns
 beyond ``doc_id`` and ``text`` are ignored.
 """
 
@@ -83,7 +87,32 @@ LICENSES = (
         "General Public License as published by the Free Software Foundation, either version 3 of the "
         "License, or (at your option) any later version.",
     ),
+    ("LGPL-3.0", "gnu lesser 3", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "gnu affero 3", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("GPL-2.0", "gnu 2", "This work is licensed under the GNU General Public License, version 2."),
+    ("CC-BY-4.0", "cc by 4 0", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "cc by sa 4 0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0", "cc by nd 4 0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "cc by nc sa 4 0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "cc by nc nd 4 0", "Licensed under CC BY-NC-ND 4.0."),
+    (
+        "LGPL-3.0",
+        "gnu lesser 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "gnu affero 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
+    ),
+    ("All-Rights-Reserved", "all rights reserved", "All rights reserved."),
 )
+# notices that grant nothing; a license beside them is the document's license
+RIGHTS_NOTICES = frozenset({"All-Rights-Reserved"})
 
 
 def words_of(text: str) -> list[str]:
@@ -173,6 +202,7 @@ class Template:
         size = len(self.words)
         self.missing = size - math.ceil(least * size - 1e-9)
         self.head = frozenset(self.words[: self.missing + 1])
+        self.foreign: frozenset[str] = frozenset()  # words that name a sibling
 
     def _reachable(self, words: list[str]) -> Iterator[tuple[int, int]]:
         """Where windows that may be covered begin, and how many of the template's words they lack."""
@@ -204,7 +234,9 @@ class Template:
             coverage = len(pairs) / size
             named = self.required <= {self.words[j] for _, j in pairs}
             if named and coverage >= self.least and (best is None or coverage > best.coverage):
-                best = Found(self.name, size, coverage, start + pairs[0][0], start + pairs[-1][0])
+                first, last = start + pairs[0][0], start + pairs[-1][0]
+                if self.foreign.isdisjoint(words[first : last + 1]):
+                    best = Found(self.name, size, coverage, first, last)
         return best
 
 
@@ -212,13 +244,16 @@ class Scanner:
     def __init__(self, licenses: tuple[tuple[str, str, str], ...]):
         self.templates = [Template(*x) for x in licenses]
         self.vocabulary = {w for t in self.templates for w in t.counts}
+        for t in self.templates:
+            siblings = [s for s in self.templates if s.name != t.name and t.counts.keys() < s.counts.keys()]
+            t.foreign = frozenset(w for s in siblings for w in s.required) - t.counts.keys()
 
     def scan(self, text: str) -> list[Found]:
         """The licenses of a text, the best covered first, each once."""
         words = words_of(text)
         present = self.vocabulary.intersection(words)
         found = [f for t in self.templates if (f := t.find(words, present))]
-        found.sort(key=lambda f: (-f.coverage, -f.size, f.name))
+        found.sort(key=lambda f: (f.name in RIGHTS_NOTICES, -f.coverage, -f.size, f.name))
         return list({f.name: f for f in reversed(found)}.values())[::-1]
 
 

@@ -36,7 +36,8 @@ def test_alignment_is_a_common_subsequence():
 
 def test_notices(rows, documents):
     notices = {"licensed under cc by-nc 4.0": "CC-BY-NC-4.0", "gnu general public license, version 3": "GPL-3.0",
-               "under the apache license, version 2.0": "Apache-2.0", "released under the mit license": "MIT"}
+               "under the apache license, version 2.0": "Apache-2.0", "released under the mit license": "MIT",
+               "all rights reserved": "All-Rights-Reserved"}
     want = {i: next((n for x, n in notices.items() if x in t.lower()), None) for i, t in rows}
     assert {r.doc_id: r.license for r in L.scan(documents).collect()} == want
 
@@ -75,6 +76,59 @@ def test_notices_with_inserted_words_at_every_offset():
             assert found[0].first == k and found[0].last - k in (size - 1, size - 2, size - 3), k
 
 
+def test_siblings_are_told_apart():
+    scanner = L.Scanner(L.LICENSES)
+    names = {
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Licensed under CC BY-NC-ND 4.0.": "CC-BY-NC-ND-4.0",
+        "All rights reserved.": "All-Rights-Reserved",
+    }
+    names |= {text: name for name, _, text in L.LICENSES}
+    for text, name in names.items():
+        assert [f.name for f in scanner.scan(f"some words {text} and more")] == [name], text
+    both = "Licensed under CC BY-NC 4.0. " + "filler " * 30 + "Licensed under CC BY 4.0. All rights reserved."
+    assert [f.name for f in scanner.scan(both)] == ["CC-BY-NC-4.0", "CC-BY-4.0", "All-Rights-Reserved"]
+
+
+def exhaustive(scanner, text):
+    """Names with coverage, from the alignment of every window of a text."""
+    words, best = L.words_of(text), {}
+    for t in scanner.templates:
+        size = len(t.words)
+        for start in range(len(words)):
+            pairs = L.align(words[start : start + 2 * size], t.words)
+            if not pairs or len(pairs) / size < t.least or not t.required <= {t.words[j] for _, j in pairs}:
+                continue
+            if t.foreign.isdisjoint(words[start + pairs[0][0] : start + pairs[-1][0] + 1]):
+                best[t.name] = max(best.get(t.name, 0.0), len(pairs) / size)
+    return best
+
+
+def test_scan_equals_all_windows():
+    rng = random.Random(5)
+    scanner = L.Scanner(L.LICENSES)
+    noise = ["the", "license", "under", "gnu", "cc", "nc", "version", "3", "x", "y", "z"]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            notice = L.words_of(rng.choice([x for x in L.LICENSES if len(x[2]) < 260])[2])
+            parts += [w for w in notice if rng.random() < 0.95] + rng.choices(noise, k=rng.randint(0, 8))
+            if rng.random() < 0.5:
+                parts.insert(rng.randrange(len(parts) + 1), rng.choice(noise))
+        text = " ".join(parts)
+        found = {}
+        for f in scanner.scan(text):
+            found[f.name] = max(found.get(f.name, 0.0), f.coverage)
+        assert found == exhaustive(scanner, text), text
+
+
 def test_odd_rows(odd, none):
     found = L.scan(odd).collect()
     assert len(found) == odd.count() and {r.license for r in found} == {None}
