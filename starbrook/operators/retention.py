@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starbrook.functions import scalars as S
 from starbrook.operators.facts import absent_facts, touched_days
@@ -80,7 +79,7 @@ def archive_old_facts(warehouse: Warehouse, as_of: Column, days: int = RETENTION
     The copy is verified before anything is removed. Whole days are dropped as folders; only the
     boundary day is rewritten. Every step can be repeated if the run is interrupted.
     """
-    warehouse.restore_interrupted()
+    warehouse.complete_rewrites()
     spark = warehouse.spark
     limit = spark.range(1).select(cutoff(as_of, days).alias("at")).select(
         F.unix_micros("at").alias("micros"), S.date_id(F.col("at")).alias("day")
@@ -111,7 +110,7 @@ def compact_fact_days(warehouse: Warehouse, days: list[int]) -> None:
     Run between batches: the label keeps the rows ahead of any batch that may still be repeated.
     All days are rewritten by one job.
     """
-    warehouse.restore_interrupted()
+    warehouse.complete_rewrites()
     rows = warehouse.rows(FACT, warehouse.snapshot(), days)
     newest = rows.groupBy("date_id").agg(F.max(BATCH).alias("newest"))
     # one row per day
@@ -121,25 +120,15 @@ def compact_fact_days(warehouse: Warehouse, days: list[int]) -> None:
 
 def compact_dimension(warehouse: Warehouse, table: str) -> None:
     """Rewrites a dimension as its current view, sorted by natural key, in one batch folder."""
-    warehouse.restore_interrupted()
-    spark, snapshot = warehouse.spark, warehouse.snapshot()
+    warehouse.complete_rewrites()
+    snapshot = warehouse.snapshot()
     if snapshot.empty:
         return
     rows = warehouse.rows(table, snapshot)
     if table == "dim_customer":
         rows = newest_versions(rows)
-    natural = next((c for c in rows.columns if c.endswith("_id")), rows.columns[0])
-    staged = f"{warehouse.root}/_staging/rewrite-{table}"
-    (
-        rows.withColumn(BATCH, F.lit(snapshot.batch_id))
-        .repartitionByRange(natural)
-        .sortWithinPartitions(BATCH, natural)
-        .write.mode("overwrite")
-        .partitionBy(BATCH)
-        .parquet(staged)
-    )
-    _check_copy(rows, spark.read.parquet(staged))
-    warehouse.swap_in(staged, table)
+    current = rows.withColumn(BATCH, F.lit(snapshot.batch_id).cast("bigint"))
+    warehouse.rewrite(table, current.repartitionByRange(warehouse.order(table)))
 
 
 def analyze(spark: SparkSession, tables: list[str]) -> None:
@@ -149,29 +138,8 @@ def analyze(spark: SparkSession, tables: list[str]) -> None:
 
 
 def _rewrite_days(warehouse: Warehouse, days: list[int], rows: DataFrame) -> None:
-    """Replaces the folders of ``days`` by ``rows``, which may be read from those very folders."""
-    spark = warehouse.spark
-    staged = f"{warehouse.root}/_staging/rewrite"
-    (
-        rows.hint("rebalance", "date_id")
-        .sortWithinPartitions("date_id", BATCH, "time_stamp")
-        .write.mode("overwrite")
-        .partitionBy("date_id", BATCH)
-        .parquet(staged)
-    )
-    columns = [*warehouse.schema(FACT).fields, T.StructField(BATCH, T.LongType())]
-    _check_copy(rows, spark.read.schema(T.StructType(columns)).parquet(staged))
-    for name in map(day_folder, days):
-        if files.exists(spark, f"{staged}/{name}"):
-            warehouse.swap_in(f"{staged}/{name}", f"{FACT}/{name}")
-        else:  # nothing was kept
-            files.delete(spark, f"{warehouse.path(FACT)}/{name}")
-
-
-def _check_copy(rows: DataFrame, copy: DataFrame) -> None:
-    expected, found = rows.count(), copy.count()
-    if expected != found:
-        raise RuntimeError(f"the rewritten copy has {found} rows instead of {expected}")
+    """Replaces the folders of ``days`` by ``rows``; large days are split, small ones gathered."""
+    warehouse.rewrite(FACT, rows.hint("rebalance", "date_id"), days)
 
 
 def table_footprint(tables: dict[str, DataFrame]) -> DataFrame:

@@ -27,19 +27,3 @@ def folders(spark: SparkSession, path: str) -> list[str]:
         return []
     names = [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
     return sorted(n for n in names if not n.startswith(("_", ".")))
-
-
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, old = _resolve(spark, source)
-    _, new = _resolve(spark, target)
-    fs.mkdirs(new.getParent())
-    if not fs.rename(old, new):
-        raise OSError(f"could not rename {source} to {target}")
-
-
-def swap_in(spark: SparkSession, staged: str, live: str, aside: str) -> None:
-    """Puts ``staged`` in the place of ``live``; ``aside`` holds the old folder until it is safe."""
-    if exists(spark, live):
-        rename(spark, live, aside)
-    rename(spark, staged, live)
-    delete(spark, aside)

@@ -24,7 +24,7 @@ REJECTS = "rejects"
 RUN_LOG = "run_log"
 QUALITY = "quality_counts"
 BATCH = "batch_id"
-ASIDE, SLASH = "aside-", "+"
+REWRITE = "rewrite-"
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,15 @@ class Warehouse:
     def staging_path(self, batch_id: int) -> str:
         return f"{self.root}/_staging/{BATCH}={batch_id}"
 
+    def partitions(self, table: str) -> list[str]:
+        """The columns that folders of a table are named by."""
+        return ["date_id", BATCH] if table == FACT else [BATCH]
+
+    def order(self, table: str) -> str:
+        """The column that rows are sorted by within a folder: time, or the natural key."""
+        names = self.schema(table).fieldNames()
+        return "time_stamp" if table == FACT else next((c for c in names if c.endswith("_id")), names[0])
+
     def schema(self, table: str) -> T.StructType:
         """Stored columns of a table, without its batch."""
         if table == REJECTS:
@@ -199,24 +208,63 @@ class Warehouse:
 
     # writing
 
-    def swap_in(self, staged: str, target: str) -> None:
-        """Puts a staged folder in the place of ``target``, a path below the root."""
-        aside = f"{self.root}/_staging/{ASIDE}{target.replace('/', SLASH)}"
-        files.swap_in(self.spark, staged, f"{self.root}/{target}", aside)
+    def rewrite(self, table: str, rows: DataFrame, days: list[int | None] | None = None) -> None:
+        """Replaces the content of ``days``, or of the whole table, by ``rows``, which may be read from
+        the very folders that are replaced.
 
-    def restore_interrupted(self) -> None:
-        """Ends swaps that were cut short: the old folder returns unless the new one is in place.
+        The copy is staged and counted, then the folders it supersedes are listed in a table of their
+        own. From then on the rewrite can be applied any number of times: the copied batch folders
+        are overwritten as partitions and the listed ones are deleted. Nothing is renamed.
+        """
+        staged, keys = self._rewrite_path(table), self.partitions(table)
+        files.delete(self.spark, f"{staged}/superseded")
+        rows.sortWithinPartitions(*keys, self.order(table)).write.mode("overwrite").partitionBy(*keys).parquet(f"{staged}/rows")
+        expected, found = rows.count(), self._staged_rows(table).count()
+        if expected != found:
+            raise RuntimeError(f"the rewritten copy has {found} rows instead of {expected}")
+        gone = []
+        for above in [""] if days is None else [day_folder(day) for day in days]:
+            kept = files.folders(self.spark, f"{staged}/rows/{above}")
+            present = files.folders(self.spark, f"{self.path(table)}/{above}")
+            gone += [(f"{above}/{name}",) for name in present if name not in kept]
+            if above and not kept:
+                gone.append((above,))
+        listed = self.spark.createDataFrame(gone, "folder string").coalesce(1)  # days times batches
+        listed.write.mode("overwrite").parquet(f"{staged}/superseded")
+        self._apply_rewrite(table)
+
+    def complete_rewrites(self) -> None:
+        """Applies rewrites that were cut short after their copy was complete; others are ignored.
 
         Called by every writer before it starts.
         """
         for name in files.folders(self.spark, f"{self.root}/_staging"):
-            if name.startswith(ASIDE):
-                aside = f"{self.root}/_staging/{name}"
-                live = f"{self.root}/{name.removeprefix(ASIDE).replace(SLASH, '/')}"
-                if files.exists(self.spark, live):
-                    files.delete(self.spark, aside)
-                else:
-                    files.rename(self.spark, aside, live)
+            table = name.removeprefix(REWRITE)
+            if table != name and files.exists(self.spark, f"{self._rewrite_path(table)}/superseded/_SUCCESS"):
+                self._apply_rewrite(table)
+
+    def _apply_rewrite(self, table: str) -> None:
+        staged, keys = self._rewrite_path(table), self.partitions(table)
+        (
+            self._staged_rows(table)
+            .sortWithinPartitions(*keys, self.order(table))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*keys)
+            .parquet(self.path(table))
+        )
+        gone = self.spark.read.schema("folder string").parquet(f"{staged}/superseded")
+        for row in gone.collect():
+            files.delete(self.spark, f"{self.path(table)}/{row['folder']}")
+        files.delete(self.spark, f"{staged}/superseded")  # first, so that half a copy is never applied
+        files.delete(self.spark, staged)
+
+    def _rewrite_path(self, table: str) -> str:
+        return f"{self.root}/_staging/{REWRITE}{table}"
+
+    def _staged_rows(self, table: str) -> DataFrame:
+        schema = T.StructType([*self.schema(table).fields, T.StructField(BATCH, T.LongType())])
+        return self.spark.read.schema(schema).parquet(f"{self._rewrite_path(table)}/rows")
 
     def log_run(
         self, feed: str, batch_id: int, attempt: int, state: str, started: datetime, **values

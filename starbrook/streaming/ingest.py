@@ -88,7 +88,7 @@ class Ingest:
         self.ledger, self.keep_quality = ledger, keep_quality
         self._newest: Snapshot | None = None
         self._highest: dict[str, int] = {}
-        warehouse.restore_interrupted()
+        warehouse.complete_rewrites()
 
     # drivers
 
