@@ -7,14 +7,19 @@ and come back exactly.
 
 A conversation's turns are rendered as one string and encoded once, with the character offsets of
 every token. The spans of its assistant texts and the spans of its tokens are both sorted, so a
-binary search finds the tokens of each span; these are under the loss mask. Conversations are
-gathered by Spark, ordered by turn, and streamed through a task; a very long conversation is
-rendered in parts that end with turns, where marks separate tokens, so its ids and masks are those
-of the whole while memory stays bounded.
+binary search finds the tokens of each span; these are under the loss mask.
+
+Turns are partitioned by ranges of conversation and turn, so a conversation that holds a large part
+of all rows is rendered, encoded and masked by many tasks. A conversation may be rendered in parts
+that end with turns: marks separate tokens, so its ids and masks are those of the whole. Parts are
+numbered from the counts by task; a digest is continued over the parts of the few conversations that
+cross the edges of tasks, in order, and needs no more than their turns.
 
 Defined results: a null text or role counts as empty. Turns come by turn number, then role, then
 text; a null number comes first. Repeated rows are turns each. Rows without a conversation id form
-one conversation without id. An empty table gives an empty result. Other columns are ignored.
+one conversation without id. Turns of one conversation, number and role whose texts begin with the
+same ``PREFIX`` characters stay in one task. An empty table gives an empty result. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -28,16 +33,18 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 from tokenizers import AddedToken, Tokenizer
 
-from starbrook.llm.common import prepare_workers, table
+from starbrook.llm.common import prepare_workers, table, written
 
 VOCABULARY = "byte_bpe_50k.json"
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
 PART_CHARS = 1_000_000
+PREFIX = 32  # of a text, in the ranges that turns are partitioned by
 
 _TURN = re.compile(
     re.escape(START) + r"(.*?)" + re.escape(SEPARATOR) + r"(.*?)" + re.escape(END) + r"\n", re.DOTALL
@@ -125,7 +132,7 @@ def _shared(vocabulary: Broadcast) -> Tokenizer:
     return _tokenizers[key]
 
 
-def _turn_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list, bool]]:
+def _turn_batches(batches: Iterator[pa.RecordBatch], part_chars: int) -> Iterator[tuple[int | None, list, bool]]:
     """(conversation, turns, whether it ends here), each of bounded size, from ordered rows."""
     held, size, current, any_row = [], 0, None, False
     for batch in batches:
@@ -134,7 +141,7 @@ def _turn_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | Non
             if any_row and conv != current:
                 yield current, held, True
                 held, size = [], 0
-            elif size > PART_CHARS:
+            elif size > part_chars:
                 yield current, held, False
                 held, size = [], 0
             any_row, current = True, conv
@@ -146,7 +153,7 @@ def _turn_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | Non
 
 
 def _ordered(turns: DataFrame) -> DataFrame:
-    """Every conversation whole in one task, its rows in order."""
+    """Rows in order, within tasks and from task to task; sampling chooses where tasks end."""
     prepare_workers(turns.sparkSession)
     rows = turns.select(
         F.col("conv_id").cast("bigint").alias("conv_id"),
@@ -154,11 +161,14 @@ def _ordered(turns: DataFrame) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # the sample is bounded by its rows, and so are its bytes: texts are cut in the key, not in the rows
+    near = [F.substring(c, 1, PREFIX) for c in ("role", "text")]
+    ranges = rows.repartitionByRange("conv_id", "turn", *near)
+    return ranges.sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
-def _encoded(own: Tokenizer, batches: Iterator[pa.RecordBatch]):
-    for conv, turns, ends in _turn_batches(batches):
+def _encoded(own: Tokenizer, batches: Iterator[pa.RecordBatch], part_chars: int):
+    for conv, turns, ends in _turn_batches(batches, part_chars):
         rendered = render(turns)
         yield conv, rendered, masked(rendered, own.encode(rendered.text, add_special_tokens=False)), ends
 
@@ -168,71 +178,128 @@ def _vocabulary(turns: DataFrame, path: str | None) -> Broadcast:
         return turns.sparkSession.sparkContext.broadcast(file.read())  # size of the vocabulary
 
 
-def format_chats(turns: DataFrame, path: str | None = None) -> DataFrame:
+def format_chats(turns: DataFrame, path: str | None = None, part_chars: int = PART_CHARS) -> DataFrame:
     """``conv_id``, ``part``, ``text``, ``ids``, ``loss_mask``: the formatted conversations. All but
-    very long ones have one part, 0."""
+    very long ones, and those at the edge of a task, have one part, 0."""
     shared = _vocabulary(turns, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = 0
-        for conv, rendered, tokens, ends in _encoded(_shared(shared), batches):
+        task, place = TaskContext.get().partitionId(), 0
+        for conv, rendered, tokens, ends in _encoded(_shared(shared), batches, part_chars):
             yield pa.RecordBatch.from_pydict(
                 {
                     "conv_id": pa.array([conv], pa.int64()),
-                    "part": pa.array([part], pa.int32()),
+                    "task": pa.array([task], pa.int32()),
+                    "place": pa.array([place], pa.int32()),
                     "text": [rendered.text],
                     "ids": pa.array([tokens.ids.tolist()], pa.list_(pa.int32())),
                     "loss_mask": pa.array([tokens.mask.tolist()], pa.list_(pa.bool_())),
                 }
             )
-            part = 0 if ends else part + 1
+            place = 0 if ends else place + 1
+
+    schema = "conv_id bigint, task int, place int, text string, ids array<int>, loss_mask array<boolean>"
+    parts = written(_ordered(turns).mapInArrow(run, schema), "chat-parts")
+    # where a conversation starts in a task other than its first: at most one row a task
+    counts = parts.groupBy("conv_id", "task").agg((F.max("place") + 1).alias("parts"))
+    earlier = Window.partitionBy("conv_id").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.sum("parts").over(earlier)).filter("start is not null")
+    starts = starts.select(F.col("conv_id").alias("c"), F.col("task").alias("t"), "start")
+    joined = parts.join(F.broadcast(starts), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("task") == F.col("t")), "left")
+    part = (F.col("place") + F.coalesce("start", F.lit(0))).cast("int")
+    return joined.select("conv_id", part.alias("part"), "text", "ids", "loss_mask")
+
+
+SIZES = "formatted_chars bigint, n_tokens bigint, loss_tokens bigint"
+DIGESTS = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, " + SIZES
+# What a part contains, read back from it. Texts are kept until their conversation is known to be
+# whole, then there are digests in their place.
+READ = "conv_id bigint, task int, place int, n_turns bigint, turns binary, loss_chars bigint, loss binary, " + SIZES
+READ_OR_DONE = READ + ", turns_sha256 string, loss_sha256 string"
+
+
+def _read_part(rendered: Rendered, tokens: Masked) -> tuple:
+    turns = read_back(rendered.text)
+    learned = "".join(unescape(text) for text in learned_text(rendered.text, tokens))
+    return (
+        len(turns),
+        "".join(f"{role}\n{text}\n" for role, text in turns).encode("utf-8", "surrogatepass"),
+        len(learned),
+        learned.encode("utf-8", "surrogatepass"),
+        len(rendered.text),
+        len(tokens.ids),
+        int(tokens.mask.sum()),
+    )
 
-    schema = "conv_id bigint, part int, text string, ids array<int>, loss_mask array<boolean>"
-    return _ordered(turns).mapInArrow(run, schema)
 
+def _done(conv: int | None, part: tuple) -> tuple:
+    n, turns, chars, loss, *sizes = part
+    return conv, None, None, n, None, chars, None, *sizes, hashlib.sha256(turns).hexdigest(), hashlib.sha256(loss).hexdigest()
 
-def chat_digests(turns: DataFrame, path: str | None = None) -> DataFrame:
+
+def chat_digests(turns: DataFrame, path: str | None = None, part_chars: int = PART_CHARS) -> DataFrame:
     """What the formatted conversations contain, read back from texts, offsets and masks."""
     shared = _vocabulary(turns, path)
 
-    def fresh():
-        return [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, rows = fresh(), []
-        for conv, rendered, tokens, ends in _encoded(_shared(shared), batches):
-            for role, text in read_back(rendered.text):
-                sums[0] += 1
-                sums[1].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
-            for written in learned_text(rendered.text, tokens):
-                text = unescape(written)
-                sums[2] += len(text)
-                sums[3].update(text.encode("utf-8", "surrogatepass"))
-            sums[4] += len(rendered.text)
-            sums[5] += len(tokens.ids)
-            sums[6] += int(tokens.mask.sum())
-            if ends:
-                n, turns_sha, chars, loss_sha, *rest = sums
-                rows.append((conv, n, turns_sha.hexdigest(), chars, loss_sha.hexdigest(), *rest))
-                sums = fresh()
-            if len(rows) == 1000:
-                yield _digest_batch(rows)
-                rows = []
-        yield _digest_batch(rows)
-
-    return _ordered(turns).mapInArrow(run, DIGESTS)
-
-
-DIGESTS = (
-    "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
-    "formatted_chars bigint, n_tokens bigint, loss_tokens bigint"
-)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A conversation of one part that stands between others is done; the rest may go on elsewhere."""
+        task, place, first, before = TaskContext.get().partitionId(), 0, True, None
+        rows, size = [], 0
+        for conv, rendered, tokens, ends in _encoded(_shared(shared), batches, part_chars):
+            part = _read_part(rendered, tokens)
+            if before is not None:
+                rows.append(_done(*before))
+                before = None
+            if first or place or not ends:
+                rows.append((conv, task, place, *part, None, None))
+                size += len(part[1])
+            else:
+                before = conv, part
+            place = 0 if ends else place + 1
+            first = first and not ends
+            if len(rows) >= 1000 or size > part_chars:
+                yield _batch(rows, READ_OR_DONE)
+                rows, size = [], 0
+        if before is not None:
+            rows.append((before[0], task, 0, *before[1], None, None))
+        yield _batch(rows, READ_OR_DONE)
+
+    found = written(_ordered(turns).mapInArrow(read, READ_OR_DONE), "chat-parts")
+    names = [f.split()[0] for f in DIGESTS.split(", ")]
+    parts = found.filter("turns_sha256 is null").drop("turns_sha256", "loss_sha256")
+    whole = parts.repartition("conv_id").sortWithinPartitions("conv_id", "task", "place").mapInArrow(_continued, DIGESTS)
+    return found.filter("turns_sha256 is not null").select(*names).unionByName(whole)
+
+
+def _continued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests over the parts of each conversation, in order; one part is held at a time."""
+    current, sums, rows = None, None, []
+
+    def row() -> tuple:
+        n, turns_sha, chars, loss_sha, *sizes = sums
+        return current, n, turns_sha.hexdigest(), chars, loss_sha.hexdigest(), *sizes
 
-
-def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
-    fields = [f.split() for f in DIGESTS.split(", ")]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            conv, _, _, n, turns, chars, loss, *sizes = (c[i].as_py() for c in batch.columns)
+            if sums is None or conv != current:
+                if sums is not None:
+                    rows.append(row())
+                current, sums = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, 0]
+            sums[1].update(turns)
+            sums[3].update(loss)
+            for k, more in zip((0, 2, 4, 5, 6), (n, chars, *sizes), strict=True):
+                sums[k] += more
+        yield _batch(rows, DIGESTS)
+        rows = []
+    if sums is not None:
+        yield _batch([row()], DIGESTS)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
-    kinds = {"bigint": pa.int64(), "string": pa.string()}
     return pa.RecordBatch.from_arrays(
         [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)],
         [name for name, _ in fields],

@@ -8,6 +8,11 @@ All is Spark: parsing, features, scores, and training, where every step of the (
 gradient descent is one aggregate over the labelled table that returns a sum for each weight. The
 labelled table is small: at most ``TRAINING_URLS`` distinct urls, here those that rules decide.
 
+Rules often go by the host's last label, which says little about hosts that end otherwise. So every
+labelled url is learned from twice, once without that label, and both kinds weigh alike. One host in
+``FOLDS`` is held out, whole; where block begins is the cut that judges those hosts best without their
+last label, and the model carries its accuracy on them.
+
 Defined results: host and path of a null url, or of one without ``://``, are empty. Rows are judged
 each for itself. With labels of one kind only that kind is the verdict, without labels it is allow.
 Of two rules of equal length that fit, that of the longer host decides. An empty table gives an
@@ -18,7 +23,8 @@ from __future__ import annotations
 
 import math
 import string
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +47,7 @@ WEIGHTS = 4096
 TRAINING_URLS = 4_000
 STEPS = 25
 RIDGE = 1e-4
+FOLDS = 5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -103,6 +110,9 @@ def _grams(name: str, n: int) -> Column:
 class Model:
     weights: list[float] = field(default_factory=lambda: [0.0] * WEIGHTS)
     bias: float = 0.0
+    held_out: int = 0  # urls judged for the accuracy
+    accuracy: float | None = None  # the mean of both kinds' shares judged right
+    blind_accuracy: float | None = None  # without the hosts' last label
 
     def logit(self) -> Column:
         """Of a row with ``features``; positive where block is likelier."""
@@ -113,13 +123,53 @@ class Model:
         return F.lit(self.bias) + total / F.sqrt(F.greatest(F.size("features"), F.lit(1)))
 
 
+def _without_ending(host: Column) -> Column:
+    return F.regexp_replace(host, r"\.?[^.]*$", "")
+
+
 def train(labelled: DataFrame) -> Model:
     """From ``host``, ``path`` and ``label`` (1: block) of a table of bounded size."""
-    rows = cut_lineage(with_features(labelled).select("label", "features").coalesce(4))
+    held = (F.pmod(F.xxhash64("host"), F.lit(FOLDS)) == 0).alias("held")
+    seen = labelled.select("host", "path", "label", held, F.lit(False).alias("blind"))
+    both = seen.unionByName(seen.withColumn("host", _without_ending(F.col("host"))).withColumn("blind", F.lit(True)))
+    rows = cut_lineage(with_features(both).select("label", "held", "blind", "features").coalesce(4))
     kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    n = sum(kinds.values())
     if len(kinds) < 2:
         return Model(bias=-50.0 if not kinds.get(1) else 50.0)
+    fold = rows.filter("not held")
+    if fold.select("label").distinct().count() < 2:  # too few hosts to hold one out
+        return _fit(rows)
+    model = _fit(fold)
+    judged = rows.filter("held").select("label", "blind", model.logit().alias("logit")).collect()  # TRAINING_URLS at most
+    return _with_cut(model, [(r["logit"], r["label"], r["blind"]) for r in judged])
+
+
+def _with_cut(model: Model, judged: list[tuple[float, int, bool]]) -> Model:
+    """The model with its bias moved to the best cut; of equal cuts the nearest to the fitted one."""
+    blind = sorted((z, y) for z, y, hidden in judged if hidden)
+    if len({y for _, y in blind}) < 2:
+        return model
+    values = sorted({z for z, _ in blind})
+    cuts = [0.0, *((a + b) / 2 for a, b in pairwise(values))]
+    cut = max(cuts, key=lambda c: (_balanced(blind, c), -abs(c)))
+    whole = [(z, y) for z, y, hidden in judged if not hidden]
+    return replace(
+        model,
+        bias=model.bias - cut,
+        held_out=len(whole),
+        accuracy=_balanced(whole, cut),
+        blind_accuracy=_balanced(blind, cut),
+    )
+
+
+def _balanced(judged: list[tuple[float, int]], cut: float) -> float:
+    right = [sum((z > cut) == bool(k) for z, y in judged if y == k) for k in (0, 1)]
+    return sum(r / sum(y == k for _, y in judged) for k, r in enumerate(right)) / 2
+
+
+def _fit(rows: DataFrame) -> Model:
+    kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    n = sum(kinds.values())
     # both kinds weigh alike, so that their numbers do not decide about urls unlike all others
     weight = F.when(F.col("label") == 1, F.lit(n / (2 * kinds[1]))).otherwise(F.lit(n / (2 * kinds[0])))
     rows = rows.withColumn("weight", weight)

@@ -1,6 +1,8 @@
 import hashlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from starbrook.llm import chat
 
 SF = "/root/testdata/sf0.001"
@@ -45,13 +47,13 @@ def test_query(spark):
     )
 
 
-def test_odd_rows(spark, monkeypatch):
+def test_odd_rows(spark):
     turns = spark.createDataFrame([(*r, 7, "x") for r in ODD], COLUMNS)
     assert digests(chat.chat_digests(turns)) == brute(ODD)
     assert chat.chat_digests(turns.limit(0)).collect() == []
     whole = chat.chat_digests(turns).collect()
-    monkeypatch.setattr(chat, "PART_CHARS", 5)  # parts change nothing
-    assert sorted(whole, key=str) == sorted(chat.chat_digests(turns).collect(), key=str)
+    parted = chat.chat_digests(turns, part_chars=5)  # parts change nothing
+    assert sorted(whole, key=str) == sorted(parted.collect(), key=str)
 
 
 def test_masks(spark):
@@ -64,6 +66,38 @@ def test_masks(spark):
         assert written == "".join(learned)
 
 
+def test_a_hot_conversation_is_split(spark):
+    # a third of all rows in one conversation; others before, between and after
+    rows = [(5, i, ("user", "assistant")[i % 2], f"{i} <|im_end|> é" + "x" * (i % 50)) for i in range(900)]
+    rows += [(c, t, ("user", "assistant")[t], f"{c}.{t}") for c in range(100, 1000) for t in (0, 1)]
+    rows += [(None, None, "assistant", f"none {i}") for i in range(300)]
+    turns = spark.createDataFrame([(*r, 7, "x") for r in rows], COLUMNS).repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = chat._ordered(turns).withColumn("task", F.spark_partition_id())
+        tasks = tasks.groupBy("conv_id").agg(F.countDistinct("task").alias("n"))
+        split = {r.conv_id: r.n for r in tasks.collect()}
+        assert split[5] > 1 and split[None] >= 1
+        assert digests(chat.chat_digests(turns, part_chars=2000)) == brute(rows)
+        parts = chat.format_chats(turns, part_chars=2000).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = defaultdict(list)
+    for r in sorted(parts, key=lambda r: r.part):
+        assert r.part == len(found[r.conv_id])  # gapless, in order
+        found[r.conv_id].append(r)
+    assert len(found[5]) > 5
+    own = chat.tokenizer(open(chat.public_tokenizers.path(chat.VOCABULARY), encoding="utf-8").read())
+    for conv, (n, turns_sha, _, _) in brute(rows).items():
+        text = "".join(r.text for r in found[conv])
+        read = chat.read_back(text)
+        assert (len(read), sha("".join(f"{role}\n{x}\n" for role, x in read))) == (n, turns_sha)
+        if conv == 5:  # the ids are those of the whole
+            assert [i for r in found[conv] for i in r.ids] == own.encode(text, add_special_tokens=False).ids
+
+
 def test_escapes_are_reversible():
     for text in ("", "\\", "<|", "\\<|", "<\\|", "<<||", chat.CONTROL_TEXT, "\\\\<\\\\|"):
         assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
