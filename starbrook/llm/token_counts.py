@@ -7,7 +7,13 @@ from small tables however many documents there are.
 
 A batch is written to a folder of its own under an attempt number, and a commit row that names the
 attempt makes it visible. Committing a batch number again changes nothing; an attempt that broke off
-is never read. Counts on record are found by a join on document id of the changed documents only.
+is never read. Signed rows lie in a fixed number of parts by a hash of the document id; a batch reads
+the parts it touches and joins them with its own documents, so documents that do not change are not
+shuffled. ``fold`` sums the signed rows of all batches into one folder, again seen by a row that names
+it, so that neither history nor the number of folders grows with revisions.
+
+A root has one writer at a time: batches and folds follow one another. Readers may run beside it; they
+see the batches committed when they began.
 
 Defined results: a null text has no tokens. Source and language may be null and form groups of their
 own. Of several changes to a document in a batch, the one of the largest ``seq`` counts, then delete,
@@ -24,7 +30,8 @@ from collections.abc import Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starbrook.llm.bpe import Ranks
@@ -36,6 +43,7 @@ INSERT, REVISE, DELETE = "insert", "revise", "delete"
 BPE, WORDS = "byte_bpe_50k/1", "words/1"
 
 COUNTS = "doc_id bigint, source string, lang string, seq bigint, kind string, tokens bigint, words bigint"
+PARTS = 64  # of the signed rows; about one for every gigabyte of them
 SIGNED = "doc_id bigint, source string, lang string, tokenizer string, docs bigint, tokens bigint"
 ROLLUP = "source string, lang string, tokenizer string, docs bigint, tokens bigint"
 
@@ -70,33 +78,77 @@ def count_tokens(changes: DataFrame, ranks: Ranks) -> DataFrame:
 class Rollup:
     """Token counts in a folder that all executors reach."""
 
-    def __init__(self, spark: SparkSession, root: str, ranks: Ranks):
-        self.spark, self.root, self.ranks = spark, root, ranks
+    def __init__(self, spark: SparkSession, root: str, ranks: Ranks, parts: int = PARTS):
+        """``parts`` belongs to the root and stays as it was when the first batch was committed."""
+        self.spark, self.root, self.ranks, self.parts = spark, root, ranks, parts
 
-    def _commits(self) -> dict[int, str]:
-        """Attempt by batch; one small row a batch."""
+    def _rows(self, path: str, schema: str) -> list[Row]:
+        """Small rows, one a folder; none if there is no folder yet."""
         try:
-            rows = self.spark.read.schema("batch bigint, attempt string").parquet(f"{self.root}/commits/*")
-        except Exception as missing:  # nothing committed yet
-            if "PATH_NOT_FOUND" not in str(missing):
+            return self.spark.read.schema(schema).parquet(path).collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return {}
-        return {r["batch"]: r["attempt"] for r in rows.collect()}
+            return []
+
+    def _commits(self) -> dict[int, str]:
+        """Attempt by batch; one small row a batch."""
+        rows = self._rows(f"{self.root}/commits/*", "batch bigint, attempt string")
+        return {r["batch"]: r["attempt"] for r in rows}
+
+    def _newest_fold(self) -> Row | None:
+        rows = self._rows(f"{self.root}/folds/*", "number bigint, attempt string, batches array<bigint>")
+        return max(rows, key=lambda r: r["number"], default=None)
 
     def _read(self, kind: str, schema: str) -> DataFrame:
-        paths = [f"{self.root}/{kind}/{b}-{a}" for b, a in sorted(self._commits().items())]
-        if not paths:
+        """The newest fold's rows, and those of the batches committed since."""
+        fold = self._newest_fold()
+        folded = set(fold["batches"]) if fold else set()
+        attempts = [fold["attempt"]] if fold else []
+        attempts += [f"{b}-{a}" for b, a in sorted(self._commits().items()) if b not in folded]
+        if not attempts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def on_record(self) -> DataFrame:
-        """Every document's group and count, one row a tokenizer."""
-        signed = self._read("signed", SIGNED)
+        base = f"{self.root}/{kind}"
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*(f"{base}/attempt={a}" for a in attempts))
+
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), F.lit(self.parts)).cast("int")
+
+    def _signed(self, touched: list[int] | None = None) -> DataFrame:
+        rows = self._read("signed", SIGNED + ", part int")
+        return rows if touched is None else rows.filter(F.col("part").isin(touched))
+
+    def on_record(self, docs: DataFrame | None = None) -> DataFrame:
+        """The group and count of every document, or of ``docs`` (``doc_id``, each once), one row a
+        tokenizer."""
+        signed = self._signed()
+        if docs is not None:
+            # at most one row a part
+            touched = [r["part"] for r in docs.select(self._part().alias("part")).distinct().collect()]
+            signed = self._signed(touched).join(counted(docs.select("doc_id")), "doc_id", "left_semi")
         sums = signed.groupBy("doc_id", "source", "lang", "tokenizer").agg(
             F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")
         )
         return sums.filter("docs != 0")
 
+    def _write(self, signed: DataFrame, attempt: str) -> None:
+        """Signed rows by part, large parts in several files, and their rollup."""
+        path = f"{self.root}/signed/attempt={attempt}"
+        signed.withColumn("part", self._part()).hint("rebalance", "part").write.partitionBy("part").parquet(path)
+        rows = self.spark.read.schema(SIGNED + ", part int").parquet(path)
+        sums = rows.groupBy("source", "lang", "tokenizer")
+        sums = sums.agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+        sums.write.parquet(f"{self.root}/rollup/attempt={attempt}")
+
+    def fold(self) -> None:
+        """Sums the signed rows of all committed batches; committed numbers stay committed."""
+        before, batches = self._newest_fold(), sorted(self._commits())
+        number = before["number"] + 1 if before else 0
+        attempt = f"fold-{uuid.uuid4().hex}"
+        self._write(self.on_record(), attempt)
+        row = self.spark.createDataFrame([(number, attempt, batches)], "number bigint, attempt string, batches array<bigint>")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/folds/{number}")
+
     def commit(self, batch: int, changes: DataFrame) -> bool:
         """Applies ``changes`` (``kind``, ``doc_id``, ``source``, ``lang``, ``text``, ``seq``) as a
         numbered batch. False, and nothing done, if the batch is committed already."""
@@ -110,7 +162,7 @@ class Rollup:
             F.max_by(F.struct("source", "lang", "kind", "tokens", "words"), order).alias("now")
         )
         last = cut_lineage(last)  # read twice below, and counting is dear
-        known = self.on_record().join(last.select("doc_id"), "doc_id", "left_semi")
+        known = self.on_record(last)
         away = known.select("doc_id", "source", "lang", "tokenizer", -F.col("docs"), -F.col("tokens"))
         each = F.array(
             F.struct(F.lit(BPE).alias("tokenizer"), F.col("now.tokens").alias("tokens")),
@@ -121,12 +173,7 @@ class Rollup:
             .select("doc_id", "now.source", "now.lang", F.inline(each))
             .select("doc_id", "source", "lang", "tokenizer", F.lit(1).cast("bigint").alias("docs"), "tokens")
         )
-        place = f"{batch}-{attempt}"
-        added.union(away).write.parquet(f"{self.root}/signed/{place}")
-        signed = self.spark.read.schema(SIGNED).parquet(f"{self.root}/signed/{place}")
-        signed.groupBy("source", "lang", "tokenizer").agg(
-            F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")
-        ).write.parquet(f"{self.root}/rollup/{place}")
+        self._write(added.union(away), f"{batch}-{attempt}")
         row = self.spark.createDataFrame([(batch, attempt)], "batch bigint, attempt string")
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/{batch}")
         return True

@@ -74,6 +74,58 @@ def test_batches(spark, ranks, tmp_path):
     assert commit(4, [("delete", i, "?", "?", None, 0) for i in state]) and totals(rollup) == {}
 
 
+def test_a_small_batch_reads_its_parts(spark, ranks, tmp_path):
+    rollup = T.Rollup(spark, str(tmp_path / "rollup"), ranks, parts=16)
+
+    def changes(rows):
+        return spark.createDataFrame([(*r, 0, 1, "x") for r in rows], COLUMNS)
+
+    rollup.commit(1, changes([("insert", i, "a", "en", f"text {i}") for i in range(400)]))
+    rollup.commit(2, changes([("revise", i, "b", "en", "less") for i in (3, 5)]))
+    docs = spark.createDataFrame([(3,), (999,)], "doc_id bigint")
+    touched = {r.part for r in docs.select(rollup._part().alias("part")).collect()}
+    read = rollup._signed(sorted(touched))
+    assert "PartitionFilters: [part" in read._jdf.queryExecution().executedPlan().toString()
+    # 16 parts of 800 rows, and two changes
+    assert read.count() < 400 and {r.part for r in read.select("part").collect()} <= touched
+    found = {(r.doc_id, r.source, r.tokenizer, r.docs) for r in rollup.on_record(docs).collect()}
+    assert found == {(3, "b", T.BPE, 1), (3, "b", T.WORDS, 1)}
+    plan = rollup.on_record(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and rollup.on_record().count() == 800
+
+
+def test_fold(spark, ranks, tmp_path, monkeypatch):
+    rollup = T.Rollup(spark, str(tmp_path / "rollup"), ranks, parts=4)
+    state = {}
+
+    def commit(number, rows):
+        for kind, doc, source, text in rows:
+            state[doc] = (source, "en", text)
+            if kind == "delete":
+                del state[doc]
+        changes = [(kind, doc, source, "en", text, 0, 1, "x") for kind, doc, source, text in rows]
+        return rollup.commit(number, spark.createDataFrame(changes, COLUMNS))
+
+    rollup.fold()  # of nothing
+    assert totals(rollup) == {}
+    commit(1, [("insert", i, "a", "one " * i) for i in range(9)])
+    commit(2, [("revise", 3, "b", "three"), ("delete", 4, "a", None)])
+    with monkeypatch.context() as patched:  # lost before its row is there
+        patched.setattr(spark, "createDataFrame", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            rollup.fold()
+    assert totals(rollup) == brute(ranks, state)
+    rollup.fold()
+    assert totals(rollup) == brute(ranks, state)
+    assert rollup._signed().count() == 2 * len(state)  # revised and deleted rows are gone
+    assert not rollup.commit(2, spark.createDataFrame([("delete", 1, "a", "en", None, 0, 1, "x")], COLUMNS))
+    commit(7, [("delete", 3, "b", None), ("insert", 20, "c", "new"), ("revise", 1, "a", "")])
+    commit(5, [("revise", 20, "c", "newer still")])
+    assert totals(rollup) == brute(ranks, state)
+    rollup.fold()
+    assert totals(rollup) == brute(ranks, state) and rollup._signed().count() == 2 * len(state)
+
+
 def test_broken_attempt_is_not_read(spark, ranks, tmp_path, monkeypatch):
     rollup = T.Rollup(spark, str(tmp_path / "rollup"), ranks)
     rows = spark.createDataFrame([("insert", 1, "a", "en", "one two", 0, 1, "x")], COLUMNS)
