@@ -457,3 +457,16 @@ def test_references_are_counted_in_one_pass(spark, tmp_path):
     assert errors[FACT, "null_key"] == (4, 1) and errors[FACT, "missing_location"] == (4, 2)
     empty = {name: df.limit(0) for name, df in tables.items()}
     assert {tuple(r)[1:] for r in quality.orphan_report(empty).collect()} == {(0, 0, 0, 0)}
+
+
+def test_a_file_of_the_mirror_feed_can_be_shared_by_tasks(spark, messages, tmp_path, monkeypatch):
+    from pyarrow import parquet
+
+    from starbrook.plans import catalog
+
+    monkeypatch.setattr(catalog, "MIRROR_BLOCK_BYTES", 16 * 1024)
+    sent = messages(*(f"{i} {i * 7919 % 10007} {'x' * (i % 50)}" for i in range(5000)))
+    catalog._deliver(sent, 1, str(tmp_path / "from"))
+    (file,) = (tmp_path / "from").glob("*.parquet")
+    assert parquet.ParquetFile(file).num_row_groups > 1
+    assert spark.read.parquet(str(tmp_path / "from")).count() == 5000
