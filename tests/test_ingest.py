@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import event, millis, rows
+from __spark_entry__ import SMOKE_DIR
 from starbrook.operators import kept_quality, quality, retention
+from starbrook.plans import catalog
 from starbrook.schemas import STAR_TABLES
 from starbrook.sources import files
 from starbrook.sources.events import event_source, parse_events
@@ -511,3 +513,29 @@ def test_the_ledger_moves_only_the_batch(spark, tmp_path):
     assert ledger.absent(ids, F.col("batch_id") < 1).count() == ids.filter("fact_id >= 'f5'").count()
     one_day = ledger.rows([20240102])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_id" in one_day
+
+
+def test_a_delivery_is_shared_by_tasks_however_its_file_is_laid_out(spark, monkeypatch):
+    taken = []
+
+    class Taken:
+        def __init__(self, *args, **kwargs):
+            pass
+
+        def load(self, events, number):
+            taken.append([n for _, n in rows(events.groupBy(F.spark_partition_id()).count())])
+
+    monkeypatch.setattr(catalog, "Ingest", Taken)
+    monkeypatch.setattr(catalog.retention, "record_footprint", lambda *args: None)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "4"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        catalog._load_once(spark, SMOKE_DIR)
+        catalog._load_slices(spark, SMOKE_DIR)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(taken) == 4
+    for sizes in taken:  # the file is one row group
+        assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
