@@ -539,3 +539,35 @@ def test_a_delivery_is_shared_by_tasks_however_its_file_is_laid_out(spark, monke
     assert len(taken) == 4
     for sizes in taken:  # the file is one row group
         assert len(sizes) == 4 and max(sizes) < sum(sizes) / 2
+
+
+def test_a_large_batch_is_moved_once_by_fact_id(spark, warehouse, ranges, frame, monkeypatch):
+    """The shuffle that combines copies also serves the comparison with earlier facts."""
+    monkeypatch.setattr("starbrook.streaming.ingest.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("starbrook.operators.lookup.LEAST_HOT_ROWS", 20)
+    staged, written = [], []
+    stage, write = Ingest._stage, Warehouse.write_facts
+
+    def staging(self, df, attempt, name):
+        staged.append(name)
+        return stage(self, df, attempt, name)
+
+    def writing(self, facts, attempt):
+        written.append(facts._jdf.queryExecution().executedPlan().toString())
+        return write(self, facts, attempt)
+
+    monkeypatch.setattr(Ingest, "_stage", staging)
+    monkeypatch.setattr(Warehouse, "write_facts", writing)
+    ingest, threshold = Ingest(warehouse, ranges), "spark.sql.autoBroadcastJoinThreshold"
+    first = [event(id=str(i), product_id=f"p{i}") for i in range(9)]
+    usual = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        ingest.load(frame(*first, event(id="0", product_id="p0")), 0)
+        ingest.load(frame(*first[5:], event(id="new", product_id="p9"), event(id="new", product_id="p9")), 1)
+    finally:
+        spark.conf.set(threshold, usual)
+    assert "facts" not in staged
+    by_id = [line for line in written[1].splitlines() if re.search(r"Exchange hashpartitioning\(fact_id#\d+, ", line)]
+    assert len(by_id) == 2  # the batch and the earlier facts, once each
+    assert sorted(r["fact_rows"] for r in warehouse.run_log().filter("state = 'success'").collect()) == [1, 9]
