@@ -571,3 +571,15 @@ def test_a_large_batch_is_moved_once_by_fact_id(spark, warehouse, ranges, frame,
     by_id = [line for line in written[1].splitlines() if re.search(r"Exchange hashpartitioning\(fact_id#\d+, ", line)]
     assert len(by_id) == 2  # the batch and the earlier facts, once each
     assert sorted(r["fact_rows"] for r in warehouse.run_log().filter("state = 'success'").collect()) == [1, 9]
+
+
+def test_suppression_keeps_its_state_on_disk(spark, ingest, messages, tmp_path):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    messages(event(), event(), event(id="e2", product_id="p2")).write.parquet(f"{tmp_path}/inbox")
+    source = event_source(spark, "parquet", f"{tmp_path}/inbox")
+    query = ingest.start(source, f"{tmp_path}/state", trigger={"availableNow": True}, suppress_within="1 hour")
+    query.awaitTermination()
+    metrics = query.lastProgress["stateOperators"][0]["customMetrics"]
+    assert any(name.startswith("rocksdb") for name in metrics)
+    assert ingest.warehouse.fact().count() == 2
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before  # other queries keep theirs
